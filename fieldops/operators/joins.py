@@ -55,13 +55,16 @@ def effective_dated_join(facts: DataFrame, periods: DataFrame, keys: Sequence[st
 
 def interval_join(intervals: DataFrame, points: DataFrame, keys: Sequence[str], start: str, end: str,
                   point: str, bucket_days: int = 7, start_inclusive: bool = True,
-                  end_inclusive: bool = True, how: str = "inner") -> DataFrame:
+                  end_inclusive: bool = True, how: str = "inner",
+                  interval_id: Sequence[str] = ()) -> DataFrame:
     """D10 / D11 / D12 — attach points to the intervals that contain them, per key.
 
     Each interval is exploded into the ``bucket_days`` buckets it overlaps (bounded by its length),
     points get the bucket they fall in, and the join is an equi-join on (keys, bucket) plus the exact
     residual.  A key holding a third of the rows is spread over its buckets instead of one task;
     AQE's skew handling can split the rest.  Intervals must not be open-ended (cap ``end`` first).
+    A point sits in exactly one bucket, so the inner join emits each (interval, point) pair once.
+    ``how="left"`` keeps intervals without points; it needs ``interval_id`` (unique columns).
     """
     def bucket(c: Column) -> Column:
         return F.floor(F.unix_date(c.cast("date")) / bucket_days).cast("long")
@@ -69,16 +72,22 @@ def interval_join(intervals: DataFrame, points: DataFrame, keys: Sequence[str],
     iv = intervals.withColumn(
         "_b", F.explode(F.sequence(bucket(F.col(start)),
                                    F.greatest(bucket(F.col(start)), bucket(F.col(end))))))
-    pt = points.withColumn("_b", bucket(F.col(point)))
+    pt = points.select(*[F.col(c).alias(f"_pk_{c}") if c in keys else F.col(c) for c in points.columns],
+                       bucket(F.col(point)).alias("_pb"))
     pcol, s, e = pt[point], iv[start], iv[end]
     lo = (pcol >= s) if start_inclusive else (pcol > s)
     hi = (pcol <= e) if end_inclusive else (pcol < e)
-    cond = [iv[k] == pt[k] for k in keys] + [iv["_b"] == pt["_b"], lo, hi]
+    cond = [iv[k] == pt[f"_pk_{k}"] for k in keys] + [iv["_b"] == pt["_pb"], lo, hi]
     c = cond[0]
     for x in cond[1:]:
         c = c & x
-    out = iv.join(pt, c, how)
-    return out.drop(iv["_b"]).drop(pt["_b"]).drop(*[pt[k] for k in keys])
+    inner = iv.join(pt, c, "inner").drop("_b", "_pb", *[f"_pk_{k}" for k in keys])
+    if how == "inner":
+        return inner
+    if how != "left" or not interval_id:
+        raise ValueError("interval_join supports how='inner', or how='left' with interval_id")
+    extra = [x for x in inner.columns if x not in intervals.columns or x in interval_id]
+    return intervals.join(inner.select(*extra), list(interval_id), "left")
 
 
 def explode_months(df: DataFrame, month_col: str, back: int, forward: int = 0,
@@ -124,3 +133,49 @@ def fallback_lookup(df: DataFrame, first: DataFrame, second: DataFrame, first_ke
               .join(b, df[second_key] == b["_fk2"], "left")
               .withColumn(out, F.coalesce("_v1", "_v2"))
               .drop("_fk1", "_v1", "_fk2", "_v2"))
+
+
+def _lit_value(v):
+    return F.lit(v)
+
+
+def rule_flags(df: DataFrame, rules: Sequence[dict], match: dict[str, str],
+               date_col: str | None = None, flags: Sequence[str] = (),
+               claimed: str = "is_claimed") -> DataFrame:
+    """D14 — wildcard override rules folded into per-row flags without any join.
+
+    ``rules`` is a small seed (list of dicts).  ``match`` maps a rule field to the row column it
+    must equal; a NULL rule field matches anything.  Rules with ``date_from``/``date_to`` apply on the
+    half-open window [from, to).  For each row: ``claimed`` = any rule matches; each name in
+    ``flags`` = any matching rule with that boolean field true.  The rules become an array-of-struct
+    literal evaluated by ``exists`` inside codegen: no cross join, no shuffle, no row expansion.
+    """
+    fields = list(match) + (["date_from", "date_to"] if date_col else []) + list(flags)
+    arr = F.array(*[F.struct(*[
+        (F.lit(r.get(f)).cast("date") if f in ("date_from", "date_to") else F.lit(r.get(f))).alias(f)
+        for f in fields]) for r in rules])
+
+    def matches(r):
+        cond = F.lit(True)
+        for f, c in match.items():
+            cond = cond & (r[f].isNull() | (r[f] == F.col(c)))
+        if date_col:
+            d = F.col(date_col).cast("date")
+            cond = cond & (d >= r["date_from"]) & (r["date_to"].isNull() | (d < r["date_to"]))
+        return cond
+
+    def flag_pred(fl):
+        return lambda r: matches(r) & F.coalesce(r[fl], F.lit(False))
+
+    out = df.withColumn(claimed, F.exists(arr, matches))
+    for fl in flags:
+        out = out.withColumn(fl, F.exists(arr, flag_pred(fl)))
+    return out
+
+
+def explode_days(df: DataFrame, start: str, end: str, out: str = "day") -> DataFrame:
+    """D20 — one row per calendar day in [start, end]; empty when start > end (no backwards
+    sequence).  Only for short spans; long spans use the cumulative calendar (T02)."""
+    a, b = F.col(start).cast("date"), F.col(end).cast("date")
+    days = F.when(a <= b, F.sequence(a, b)).otherwise(F.array().cast("array<date>"))
+    return df.withColumn(out, F.explode(days))
