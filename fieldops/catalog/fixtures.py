@@ -117,3 +117,39 @@ seasons as (
          case when i between 14 and 39 then 'ete' else 'hiver' end as saison
   from range(1, 54) r(i)
 )"""
+
+
+def rhu(expr: str, n: int) -> str:
+    """SQL twin of ``round_half_up``."""
+    return f"cast(round(cast(({expr}) as decimal(38,10)), {n}) as double)"
+
+
+def supply_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receipt lead times: order date → ship date of each line; valid when 0..60 days."""
+    l, o = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "orders")
+    lead = F.datediff(F.col("l_shipdate").cast("date"), F.col("o_orderdate").cast("date"))
+    return (l.join(o, l.l_orderkey == o.o_orderkey)
+            .select(F.col("l_partkey").alias("product_id"), lead.alias("lead_days"),
+                    lead.between(0, 60).alias("is_lead_time_valid"), F.col("o_orderdate").alias("start_date")))
+
+
+def stock_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily stock rows per (entity, item): open lines stand for counted stock."""
+    l = t(spark, sf_dir, "lineitem").where(F.col("l_linestatus") == "O")
+    return l.select((F.col("l_suppkey") % DEPOT_MOD).alias("id_entity"), F.lit("company").alias("entity_type"),
+                    F.concat(F.lit("ART"), F.col("l_partkey").cast("string")).alias("product_code"),
+                    F.col("l_partkey").alias("product_id"),
+                    F.col("l_shipdate").cast("date").alias("date_system"), F.col("l_quantity").alias("stock_at_date"),
+                    F.when(F.col("l_discount") > 0, F.col("l_extendedprice") / F.col("l_quantity")).alias("dpa"),
+                    "l_orderkey", "l_linenumber", "l_extendedprice")
+
+
+def supply_on_order(spark: SparkSession, sf_dir: str, as_of) -> DataFrame:
+    """Waiting supplier orders (status P) started in the last 60 days, by destination depot."""
+    from fieldops.plans.supply import remap_col
+    l, o = t(spark, sf_dir, "lineitem"), t(spark, sf_dir, "orders")
+    j = l.join(o, l.l_orderkey == o.o_orderkey).where(
+        (F.col("o_orderstatus") == "P") & (F.col("o_orderdate").cast("date") >= F.date_sub(F.lit(str(as_of)).cast("date"), 60)))
+    j = j.select((F.col("l_suppkey") % DEPOT_MOD).alias("company_id"), F.col("l_partkey").alias("product_id"), "l_quantity")
+    return (j.select(remap_col("company_id", DEPOT_REMAP).alias("company_id"), "product_id", "l_quantity")
+            .groupBy("company_id", "product_id").agg(F.sum("l_quantity").alias("encours_fournisseur")))
