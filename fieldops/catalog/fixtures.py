@@ -139,7 +139,8 @@ def stock_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return l.select((F.col("l_suppkey") % DEPOT_MOD).alias("id_entity"), F.lit("company").alias("entity_type"),
                     F.concat(F.lit("ART"), F.col("l_partkey").cast("string")).alias("product_code"),
                     F.col("l_partkey").alias("product_id"),
-                    F.col("l_shipdate").cast("date").alias("date_system"), F.col("l_quantity").alias("stock_at_date"),
+                    F.col("l_shipdate").cast("date").alias("date_system"),
+                    F.when(F.col("l_returnflag") == "R", F.lit(0.0)).otherwise(F.col("l_quantity")).alias("stock_at_date"),
                     F.when(F.col("l_discount") > 0, F.col("l_extendedprice") / F.col("l_quantity")).alias("dpa"),
                     "l_orderkey", "l_linenumber", "l_extendedprice")
 
