@@ -173,3 +173,19 @@ def t13(spark, d):
     o = t(spark, d, "orders")
     return (o.join(F.broadcast(h), o.o_orderdate.cast("date") == h.date_ferie)
             .groupBy("nom_jour_ferie").agg(F.count(F.lit(1)).alias("n_orders")))
+
+
+def sql_business_minutes(name: str, src: str, ids: str, s: str, e: str) -> str:
+    """Brute-force SQL twin of ``business_minutes`` (explode every local day), for the oracles.
+    Yields rows only for spans holding at least one business day."""
+    paris = "'Europe/Paris'"
+    return f"""{name}_days as (
+  select {ids}, {s} as _s, {e} as _e, cast(unnest(generate_series(
+      cast(timezone({paris}, cast({s} as timestamptz)) as date),
+      cast(timezone({paris}, cast({e} as timestamptz)) as date), interval 1 day)) as date) as d
+  from {src} where {s} is not null and {e} is not null),
+{name} as (
+  select {ids}, sum(greatest(date_sub('minute',
+      greatest(timezone('UTC', timezone({paris}, d + interval 9 hour)), _s),
+      least(timezone('UTC', timezone({paris}, d + interval 17 hour + interval 30 minute)), _e)), 0)) as minutes
+  from {name}_days where isodow(d) < 6 and d not in (select date_ferie from hol) group by {ids})"""

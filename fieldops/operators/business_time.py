@@ -38,9 +38,11 @@ def _local_instant(day: Column, hhmm: tuple[int, int], tz: str) -> Column:
 
 def business_minutes(df: DataFrame, start: str, end: str, cal: DataFrame,
                      tz: str = "Europe/Paris", open_at: tuple[int, int] = (9, 0),
-                     close_at: tuple[int, int] = (17, 30), out: str = "business_minutes") -> DataFrame:
+                     close_at: tuple[int, int] = (17, 30), out: str = "business_minutes",
+                     null_without_business_day: bool = False) -> DataFrame:
     """T01 — whole minutes between two UTC instants inside opening hours (local ``tz``), Mon–Fri,
-    holidays excluded; each day clipped and floored at 0.
+    holidays excluded; each day clipped and floored at 0.  With ``null_without_business_day`` the
+    result is NULL (not 0) when the span holds no business day at all (an inner-joined day list).
 
     First and last local day are clipped exactly; every business day strictly between contributes
     a full opening span (DST changes happen at night, so a full span is the same length all year).
@@ -69,7 +71,12 @@ def business_minutes(df: DataFrame, start: str, end: str, cal: DataFrame,
     total = (F.when(F.col("_d1") > F.col("_d2"), F.lit(0))
               .when(F.col("_d1") == F.col("_d2"), first)
               .otherwise(first + last + between))
-    return (x.withColumn(out, F.when(F.col("_s").isNull() | F.col("_e").isNull(), F.lit(0))
-                         .otherwise(total).cast("long"))
+    x = _lookup(x, cal, F.date_sub(F.col("_d1"), 1), "_c0")
+    no_bd = (F.col("_d1") > F.col("_d2")) | ((F.col("_c2_cum") - F.col("_c0_cum")) <= 0)
+    empty = F.lit(None) if null_without_business_day else F.lit(0)
+    res = (F.when(F.col("_s").isNull() | F.col("_e").isNull(), empty)
+            .when(no_bd, empty).otherwise(total))
+    return (x.withColumn(out, res.cast("long"))
+             .drop("_c0_bd", "_c0_cum")
              .drop("_s", "_e", "_d1", "_d2", "_c1_bd", "_c1_cum", "_c2_bd", "_c2_cum",
                    "_c3_bd", "_c3_cum"))
