@@ -14,17 +14,23 @@ from pyspark.sql import types as T
 
 
 def read_snapshots(spark: SparkSession, root: str, schema: T.StructType | str,
-                   kind_pattern: str = r"/([^/]+)/\d{4}-\d{2}/[^/]+\.ndjson$") -> DataFrame:
-    """Read every snapshot file under ``root`` and add kind, period, file name and extraction time."""
+                   kind_pattern: str = r"/([^/]+)/\d{4}-\d{2}/[^/]+\.ndjson$",
+                   period_pattern: str = r"/(\d{4}-\d{2})/[^/]+\.ndjson$",
+                   stamp_pattern: str = r"/([^/.]+)\.ndjson$", file_glob: str = "*.ndjson") -> DataFrame:
+    """Read every snapshot file under ``root`` and add kind, period, file name and extraction time.
+
+    The three patterns locate kind, period (YYYY-MM) and extraction stamp in the file path; the
+    defaults match ``<kind>/<YYYY-MM>/<stamp>Z.ndjson``, other layouts pass their own.
+    """
     df = (spark.read.schema(schema).option("recursiveFileLookup", "true")
-          .option("pathGlobFilter", "*.ndjson").json(root))
+          .option("pathGlobFilter", file_glob).json(root))
     path = F.col("_metadata.file_path")
-    period = F.regexp_extract(path, r"/(\d{4}-\d{2})/[^/]+\.ndjson$", 1)
-    stamp = F.regexp_extract(path, r"/([^/.]+)\.ndjson$", 1)
+    period = F.regexp_extract(path, period_pattern, 1)
+    stamp = F.regexp_extract(path, stamp_pattern, 1)
     return (df.withColumn("kind", F.nullif(F.regexp_extract(path, kind_pattern, 1), F.lit("")))
               .withColumn("periode", F.nullif(period, F.lit("")))
               .withColumn("periode_date", F.try_to_date(F.concat(F.col("periode"), F.lit("-01"))))
-              .withColumn("source_file", F.regexp_extract(path, r"([^/]+\.ndjson)$", 1))
+              .withColumn("source_file", F.regexp_extract(path, r"([^/]+)$", 1))
               .withColumn("extracted_at",
                           F.try_to_timestamp(stamp, F.lit("yyyyMMdd'T'HHmmss'Z'"))))
 
