@@ -168,13 +168,15 @@ from pts p left join lineitem l
   on cast(l.l_shipdate as date) > p.as_of_day - interval 180 day and cast(l.l_shipdate as date) <= p.as_of_day
 group by 1""")
 def d10(spark, d):
-    l = t(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("ship_day"), "l_orderkey", "l_quantity")
-    pts = l.select(F.trunc("ship_day", "MM").alias("as_of_day")).distinct()
+    l = t(spark, d, "lineitem").select(F.col("l_shipdate").cast("date").alias("ship_day"), "l_quantity")
+    # pre-aggregate to one row per day before the range join: the join then sees days, not lines
+    per_day = l.groupBy("ship_day").agg(F.count(F.lit(1)).alias("n"), F.sum("l_quantity").alias("q"))
+    pts = per_day.select(F.trunc("ship_day", "MM").alias("as_of_day")).distinct()
     iv = pts.withColumn("win_start", F.date_sub("as_of_day", 180))
-    j = interval_join(iv, l, [], "win_start", "as_of_day", "ship_day", bucket_days=30,
+    j = interval_join(iv, per_day, [], "win_start", "as_of_day", "ship_day", bucket_days=30,
                       start_inclusive=False, how="left", interval_id=["as_of_day"])
-    return j.groupBy("as_of_day").agg(F.count("l_orderkey").alias("n_lines_180d"),
-                                      F.coalesce(F.sum("l_quantity"), F.lit(0.0)).alias("qty_180d"))
+    return j.groupBy("as_of_day").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_lines_180d"),
+                                      F.coalesce(F.sum("q"), F.lit(0.0)).alias("qty_180d"))
 
 
 @register("d11_between_events_inclusive", sql="""
