@@ -46,12 +46,13 @@ def k01(spark, d):
     return _eav(spark, d)
 
 
-RULES = [
+def _rules():
+    return [
     (F.col("p_type") == "SMALL", {"famille": "BOISSON", "sous_famille": "CAFE", "format": "DOSE"}),
     (F.col("p_name").like("%bolt%"), {"famille": "PIECE", "sous_famille": "VISSERIE", "format": "UNITE"}),
     ((F.col("p_type") == "LARGE") & (F.col("p_size") > 25), {"famille": "MATERIEL", "sous_famille": "GRAND", "format": "UNITE"}),
     (F.col("p_brand").like("Brand#1%"), {"famille": "SNACK", "sous_famille": "SUCRE", "format": "SACHET"}),
-]
+    ]
 
 
 @register("k02_product_typology", sql="""
@@ -64,7 +65,7 @@ select p_partkey, p_name, p_brand, p_type, p_size, p_retailprice,
        when p_type = 'LARGE' and p_size > 25 then 'UNITE' when p_brand like 'Brand#1%' then 'SACHET' else 'INDEFINI' end as format
 from part""")
 def k02(spark, d):
-    return dims.ordered_typology(t(spark, d, "part"), RULES, ["famille", "sous_famille", "format"])
+    return dims.ordered_typology(t(spark, d, "part"), _rules(), ["famille", "sous_famille", "format"])
 
 
 @register("k03_one_contract_per_company", sql="""
