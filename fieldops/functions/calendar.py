@@ -118,3 +118,15 @@ def month_spine(start, end) -> Column:
     """T08 — array of month starts from ``start`` to ``end`` (empty when start > end)."""
     s, e = F.trunc(col(start).cast("date"), "MM"), F.trunc(col(end).cast("date"), "MM")
     return F.when(s <= e, F.sequence(s, e, F.expr("interval 1 month"))).otherwise(F.array().cast("array<date>"))
+
+
+def seasonal_window(as_of: dt.date) -> tuple[dt.date, dt.date, int]:
+    """T10 — last year's window centred on this month: [month−12 − 1, month−12 + 2) and its days."""
+    centre = dt.date(as_of.year - 1, as_of.month, 1)
+
+    def add_months(d: dt.date, k: int) -> dt.date:
+        n = d.year * 12 + d.month - 1 + k
+        return dt.date(n // 12, n % 12 + 1, 1)
+
+    start, end = add_months(centre, -1), add_months(centre, 2)
+    return start, end, (end - start).days
