@@ -31,6 +31,15 @@ MODULES = (
 )
 
 
+# IDs whose work is the same query as another ID's entry (registered once all modules are loaded).
+ALIASES = {
+    "s09_starts_with": "b09_starts_with", "s12_safe_divide": "e19_safe_ratio_of_sums",
+    "s22_generate_date_array": "t08_month_spine", "s24_injected_today": "b17_as_of_predicate",
+    "g03_top1_per_group": "f01_top1_per_group", "g02_limit1_in_array": "b14_first_acceptable_token",
+    "t03_business_hours_24h": "k29_sla_business_days_bonus", "t10_seasonal_window": "k12_stock_coverage",
+}
+
+
 def register(name: str, sql: str | None = None):
     def deco(fn: QueryFn) -> QueryFn:
         if name in REGISTRY:
@@ -52,6 +61,9 @@ def load_all() -> dict[str, Entry]:
             except ModuleNotFoundError as e:  # module not written yet
                 if e.name != f"fieldops.catalog.{m}":
                     raise
+        for alias, target in ALIASES.items():
+            if target and target in REGISTRY and alias not in REGISTRY:
+                REGISTRY[alias] = Entry(alias, REGISTRY[target].fn, REGISTRY[target].sql)
         _loaded = True
     return REGISTRY
 

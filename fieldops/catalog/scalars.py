@@ -259,12 +259,3 @@ select periode, cast(periode || '-01' as date) as periode_date from x""")
 def s28(spark, d):
     x = t(spark, d, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("periode")).distinct()
     return x.select("periode", F.to_date(F.concat("periode", F.lit("-01"))).alias("periode_date"))
-
-
-# IDs whose work is the same query as another family's entry.
-ALIASES = {"s09_starts_with": "b09_starts_with", "s12_safe_divide": "e19_safe_ratio_of_sums",
-           "s22_generate_date_array": "t08_month_spine", "s24_injected_today": "b17_as_of_predicate",
-           "g03_top1_per_group": "f01_top1_per_group", "g02_limit1_in_array": "b14_first_acceptable_token"}
-for _alias, _target in ALIASES.items():
-    if _target in REGISTRY:
-        register(_alias, sql=REGISTRY[_target].sql)(REGISTRY[_target].fn)

@@ -73,13 +73,16 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
         r[2] for r in holiday_rows(range(first_year, last_year + 1))}
     d = dt.date(first_year, 1, 1)
     end = dt.date(last_year, 12, 31)
-    rows, cum = [], 0
+    epoch = dt.date(1970, 1, 1)
+    rows, cum, cum_sec = [], 0, 0
     while d <= end:
         bd = d.weekday() < 5 and d not in hol
         cum += int(bd)
-        rows.append((d, bd, cum))
+        cum_sec += (d - epoch).days * 86400 if bd else 0
+        rows.append((d, bd, cum, cum_sec))
         d += dt.timedelta(days=1)
-    return spark.createDataFrame(rows, "day date, is_business_day boolean, cum_bd long")
+    # cum_sec = Σ epoch seconds of the business-day midnights up to the day (for 24-hour clocks)
+    return spark.createDataFrame(rows, "day date, is_business_day boolean, cum_bd long, cum_sec long")
 
 
 def iso_week_label(c) -> Column:

@@ -80,3 +80,56 @@ def business_minutes(df: DataFrame, start: str, end: str, cal: DataFrame,
              .drop("_c0_bd", "_c0_cum")
              .drop("_s", "_e", "_d1", "_d2", "_c1_bd", "_c1_cum", "_c2_bd", "_c2_cum",
                    "_c3_bd", "_c3_cum"))
+
+
+def business_day_clock(df: DataFrame, ref: str, points: dict[str, str], end: str, cal: DataFrame) -> DataFrame:
+    """T03 — 24-hour business clock: for each point X, over business days d from
+    least(date(ref), date(X0)) to date(min(X, end)): days counted inclusively and hours =
+    Σ (min(X, d+1) − max(ref, d)) / 3600 (negative contributions before ``ref`` kept, as the source).
+
+    Closed form on the calendar's cumulative counters (no per-day rows):
+      Σ_{d<eX} (d+1) + [eX business]·X − ref·#(d ≤ eR) − Σ_{d>eR} d.
+    ``points`` maps an output prefix to its timestamp column; rows whose day range is empty get NULL.
+    """
+    first_point = list(points.values())[0]
+    s = F.least(F.col(ref).cast("date"), F.col(first_point).cast("date"))
+    e_end = F.col(end).cast("date")
+    c = F.broadcast(cal.select("day", "is_business_day", "cum_bd", "cum_sec"))
+    out = df.withColumn("_s", s).withColumn("_eR", F.col(ref).cast("date"))
+
+    def lk(frame, day_col, tag):
+        x = c.select(F.col("day").alias(f"{tag}_d"), F.col("is_business_day").alias(f"{tag}_b"),
+                     F.col("cum_bd").alias(f"{tag}_n"), F.col("cum_sec").alias(f"{tag}_s"))
+        return frame.join(x, F.col(day_col) == F.col(f"{tag}_d"), "left").drop(f"{tag}_d")
+
+    def cnt(a, b):   # business days in [a, b] from the lookups tagged a/b (a is "day before start")
+        return F.greatest(F.col(f"{b}_n") - F.col(f"{a}_n"), F.lit(0))
+
+    def ssum(a, b):
+        return F.when(F.col(f"{b}_n") > F.col(f"{a}_n"), F.col(f"{b}_s") - F.col(f"{a}_s")).otherwise(F.lit(0))
+
+    out = out.withColumn("_sm1", F.date_sub("_s", 1))
+    out = lk(out, "_sm1", "_a")
+    sec = lambda x: F.unix_seconds(F.col(x).cast("timestamp"))
+    drop = ["_s", "_eR", "_sm1", "_a_b", "_a_n", "_a_s"]
+    for pfx, x in points.items():
+        eX = f"_{pfx}_e"
+        out = out.withColumn(eX, F.col(x).cast("date")).withColumn(f"_{pfx}_u", F.least(F.col(eX), e_end))
+        out = out.withColumn(f"_{pfx}_u1", F.least(F.col(f"_{pfx}_u"), F.date_sub(F.col(eX), 1)))
+        out = out.withColumn(f"_{pfx}_r", F.least(F.col(f"_{pfx}_u"), F.col("_eR")))
+        out = out.withColumn(f"_{pfx}_r0", F.greatest(F.col("_s"), F.date_add(F.col("_eR"), 1)))
+        out = out.withColumn(f"_{pfx}_r0m1", F.date_sub(F.col(f"_{pfx}_r0"), 1))
+        for col_, tag in ((f"_{pfx}_u", "_U"), (f"_{pfx}_u1", "_U1"), (f"_{pfx}_r", "_R"), (f"_{pfx}_r0m1", "_R0")):
+            out = lk(out, col_, f"{tag}{pfx}")
+        u, u1, r, r0 = f"_U{pfx}", f"_U1{pfx}", f"_R{pfx}", f"_R0{pfx}"
+        n_days = F.when(F.col(f"_{pfx}_u") >= F.col("_s"), cnt("_a", u))
+        part1 = F.when(F.col(f"_{pfx}_u1") >= F.col("_s"), ssum("_a", u1) + 86400 * cnt("_a", u1)).otherwise(0)
+        ex_in = (F.col(eX) <= F.col(f"_{pfx}_u")) & (F.col(eX) >= F.col("_s"))
+        part2 = F.when(ex_in & F.col(f"{u}_b") & (F.col(eX) == F.col(f"_{pfx}_u")), sec(x)).otherwise(0)
+        part3 = F.when(F.col(f"_{pfx}_r") >= F.col("_s"), sec(ref) * cnt("_a", r)).otherwise(0)
+        part4 = F.when(F.col(f"_{pfx}_u") >= F.col(f"_{pfx}_r0"), ssum(r0, u)).otherwise(0)
+        hours = F.when(F.col(f"_{pfx}_u") >= F.col("_s"), (part1 + part2 - part3 - part4) / 3600.0)
+        out = out.withColumn(f"delai_jours_{pfx}", n_days).withColumn(f"delai_heures_{pfx}", hours)
+        drop += [eX, f"_{pfx}_u", f"_{pfx}_u1", f"_{pfx}_r", f"_{pfx}_r0", f"_{pfx}_r0m1"]
+        drop += [f"{t}_{k}" for t in (u, u1, r, r0) for k in ("b", "n", "s")]
+    return out.drop(*drop)
