@@ -124,3 +124,46 @@ def k04(spark, d):
                                     F.lit("2024-02-01 00:00:00").cast("timestamp_ntz").alias("dbt_valid_from"),
                                     F.lit(None).cast("timestamp_ntz").alias("dbt_valid_to"))
     return dims.device_history(v1.unionByName(v2), ["c_custkey"], ["c_acctbal"])
+
+
+@register("k04c_client_external_ids", sql="""
+with u as (
+  select try_cast(nullif(regexp_extract(raw, 'FR_(\\d+)', 1), '') as bigint) as third, ext as third_c4c_id, reference_date from (
+    select case when o_orderkey % 13 = 0 then null else 'FR_' || cast(o_custkey as varchar) end as raw, o_orderkey as ext,
+           case when o_orderkey % 17 = 0 then null else o_orderdate end as reference_date from orders) where raw is not null
+  union all
+  select try_cast(nullif(regexp_extract(raw, 'FR_(\\d+)', 1), '') as bigint), ext, reference_date from (
+    select 'FR_' || cast(l_suppkey * 15 as varchar) as raw, l_partkey as ext, l_shipdate as reference_date from lineitem)),
+latest as (select * from u where third is not null
+           qualify row_number() over (partition by third order by reference_date desc nulls last, third_c4c_id desc) = 1)
+select c.c_custkey as third, c.c_name as third_name, c.c_mktsegment as secteur, n.n_name as region,
+  'CAT' || cast(c.c_nationkey % 3 as varchar) as categorie, l.third_c4c_id,
+  case when c.c_mktsegment like '%ING%' then upper(n.n_name) else 'RS ' || 'CAT' || cast(c.c_nationkey % 3 as varchar) end as third_groupe
+from customer c join nation n on c.c_nationkey = n.n_nationkey left join latest l on c.c_custkey = l.third""")
+def k04c(spark, d):
+    c, n, o, l = (t(spark, d, x) for x in ("customer", "nation", "orders", "lineitem"))
+    clients = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+        F.col("c_custkey").alias("third"), F.col("c_name").alias("third_name"), F.col("c_mktsegment").alias("secteur"),
+        F.col("n_name").alias("region"), F.concat(F.lit("CAT"), (F.col("c_nationkey") % 3).cast("string")).alias("categorie"))
+    s1 = o.select(F.when(F.col("o_orderkey") % 13 == 0, F.lit(None)).otherwise(F.concat(F.lit("FR_"), F.col("o_custkey").cast("string")))
+                  .alias("raw_account_ref"), F.col("o_orderkey").alias("external_id"),
+                  F.when(F.col("o_orderkey") % 17 == 0, F.lit(None)).otherwise(F.col("o_orderdate")).alias("reference_date"))
+    s2 = l.select(F.concat(F.lit("FR_"), (F.col("l_suppkey") * 15).cast("string")).alias("raw_account_ref"),
+                  F.col("l_partkey").alias("external_id"), F.col("l_shipdate").alias("reference_date"))
+    return dims.client_external_ids(clients, [s1, s2], group_like="%ING%")
+
+
+@register("k04d_vehicle_cost_code", sql="""
+with v as (select case when o_orderkey % 9 = 0 then '#' || cast(o_custkey % 700 as varchar)
+                       else 'AB-' || cast(o_custkey % 700 as varchar) end as plate,
+                  case when o_orderkey % 11 = 0 then null else o_orderpriority end as code_analytique,
+                  o_orderdate as effective_date, o_orderkey as contract_id from orders)
+select plate, code_analytique from v where plate is not null and not starts_with(plate, '#') and code_analytique is not null
+qualify row_number() over (partition by plate order by effective_date desc, contract_id desc) = 1""")
+def k04d(spark, d):
+    o = t(spark, d, "orders")
+    v = o.select(F.when(F.col("o_orderkey") % 9 == 0, F.concat(F.lit("#"), (F.col("o_custkey") % 700).cast("string")))
+                 .otherwise(F.concat(F.lit("AB-"), (F.col("o_custkey") % 700).cast("string"))).alias("plate"),
+                 F.when(F.col("o_orderkey") % 11 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("code_analytique"),
+                 F.col("o_orderdate").alias("effective_date"), F.col("o_orderkey").alias("contract_id"))
+    return dims.vehicle_cost_codes(v)

@@ -57,3 +57,31 @@ def device_history(history: DataFrame, keys: Sequence[str], backfill: Sequence[s
     is_current, and leading NULLs of ``backfill`` columns filled with the first known value."""
     v = history_view(history, keys)
     return backfill_leading_nulls(v, keys, ["dbt_valid_from"], backfill)
+
+
+def client_external_ids(clients: DataFrame, sources: list[DataFrame], id_pattern: str = r"FR_(\d+)",
+                        group_like: str = "%FID%") -> DataFrame:
+    """K04c — clients enriched with the external id last seen for them across several sources.
+
+    sources: (raw_account_ref, external_id, reference_date) each; the client number is the digits
+    captured by ``id_pattern``.  Latest reference date wins (NULL dates last, id as tie-break).
+    """
+    from fieldops.functions.scalar import regex_first
+    from fieldops.operators.aggs import keep_latest
+    u = None
+    for s in sources:
+        x = s.where(F.col("raw_account_ref").isNotNull()).select(
+            regex_first("raw_account_ref", id_pattern, 1).try_cast("long").alias("third"),
+            F.col("external_id").try_cast("long").alias("third_c4c_id"), "reference_date")
+        u = x if u is None else u.unionByName(x)
+    latest = keep_latest(u.where(F.col("third").isNotNull()), ["third"], ["reference_date", "third_c4c_id"])
+    grp = F.when(F.col("secteur").like(group_like), F.upper("region")).otherwise(F.concat(F.lit("RS "), F.col("categorie")))
+    return (clients.join(latest.select("third", "third_c4c_id"), "third", "left")
+            .withColumn("third_groupe", grp))
+
+
+def vehicle_cost_codes(contracts: DataFrame) -> DataFrame:
+    """K04d — cost code of each plate from its latest contract; masked plates ('#…') dropped."""
+    c = contracts.where(F.col("plate").isNotNull() & ~F.startswith(F.col("plate"), F.lit("#"))
+                        & F.col("code_analytique").isNotNull())
+    return top1(c, ["plate"], [F.col("effective_date").desc(), F.col("contract_id").desc()]).select("plate", "code_analytique")
