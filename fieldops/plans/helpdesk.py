@@ -97,3 +97,22 @@ def ticket_sla(tickets: DataFrame, threads: DataFrame, events: DataFrame, segmen
         z("_ob").alias("time_in_open_minutes_business"), z("_hb").alias("time_in_on_hold_minutes_business"),
         z("_oc").alias("resolution_excluding_hold_minutes_calendar"),
         z("_ob").alias("resolution_excluding_hold_minutes_business"))
+
+
+def ticket_360(tickets: DataFrame, contacts: DataFrame, accounts: DataFrame, departments: DataFrame,
+               agents: DataFrame, metrics: DataFrame) -> DataFrame:
+    """K41 — ticket with its contact, account (direct, else through the contact), department,
+    assignee and metrics: left joins of dimensions onto the ticket fact (dimensions broadcast-sized,
+    the metrics table joins on the ticket key)."""
+    c = contacts.select("contact_id", F.col("account_id").alias("_c_account"), "first_name", "email")
+    a1 = accounts.select(F.col("account_id").alias("_a1"), F.col("account_name").alias("_n1"))
+    a2 = accounts.select(F.col("account_id").alias("_a2"), F.col("account_name").alias("_n2"))
+    d = departments.select("department_id", F.col("name").alias("department_name"))
+    ag = agents.select(F.col("agent_id").alias("assignee_id"), F.col("name").alias("assignee_name"))
+    j = (tickets.join(metrics, "ticket_id", "left").join(c, "contact_id", "left")
+         .join(F.broadcast(a1), F.col("account_id") == F.col("_a1"), "left")
+         .join(F.broadcast(a2), F.col("_c_account") == F.col("_a2"), "left")
+         .join(F.broadcast(d), "department_id", "left").join(F.broadcast(ag), "assignee_id", "left"))
+    return (j.withColumn("account_id", F.coalesce("account_id", "_c_account"))
+             .withColumn("account_name", F.coalesce("_n1", "_n2"))
+             .drop("_c_account", "_a1", "_n1", "_a2", "_n2"))
