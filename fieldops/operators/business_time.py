@@ -19,12 +19,23 @@ def _lookup(df: DataFrame, cal: DataFrame, day: Column, prefix: str) -> DataFram
     return df.join(c, day == F.col(f"{prefix}_day"), "left").drop(f"{prefix}_day")
 
 
-def business_days(df: DataFrame, start: str, end: str, cal: DataFrame,
+def business_days(df: DataFrame, start: str, end, cal: DataFrame,
                   out: str = "business_days") -> DataFrame:
-    """T02 — (number of business days in [date(start), date(end)]) − 1; NULL when there is none."""
-    a, b = F.col(start).cast("date"), F.col(end).cast("date")
+    """T02 — (number of business days in [date(start), date(end)]) − 1; NULL when there is none.
+
+    ``end`` is a column name, or a fixed date (e.g. "today"): then its counter is looked up once
+    and attached as a one-row broadcast, so no row is compared with the whole calendar.
+    """
+    import datetime as _dt
+    a = F.col(start).cast("date")
     x = _lookup(df, cal, F.date_sub(a, 1), "_ta")
-    x = _lookup(x, cal, b, "_tb")
+    if isinstance(end, (_dt.date, _dt.datetime)):
+        d = end.date() if isinstance(end, _dt.datetime) else end
+        one = cal.where(F.col("day") == F.lit(d.isoformat()).cast("date")).select(
+            F.col("is_business_day").alias("_tb_bd"), F.col("cum_bd").alias("_tb_cum"))
+        x = x.crossJoin(F.broadcast(one))  # exactly one calendar row
+    else:
+        x = _lookup(x, cal, F.col(end).cast("date"), "_tb")
     n = F.col("_tb_cum") - F.col("_ta_cum")
     return (x.withColumn(out, F.when(n > 0, n - 1))
              .drop("_ta_bd", "_ta_cum", "_tb_bd", "_tb_cum"))
