@@ -52,3 +52,9 @@ def test_every_query_has_a_unique_key_and_callable():
     assert len(REG) > 100
     for n, e in REG.items():
         assert callable(e.fn) and n == e.name
+
+
+def test_entry_smoke(spark):
+    import __spark_entry__ as entry_mod
+    df = entry_mod.entry(spark)
+    assert "point_commande" in df.columns and df.count() >= 0
