@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldops.catalog import register
 from fieldops.catalog.fixtures import t
 from fieldops.functions.scalar import round_half_up
-from fieldops.operators.windows import episodes, top1
+from fieldops.operators.windows import bucketed_lag, episodes, top1
 
 DEC = "decimal(18,2)"
 LKEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
@@ -49,9 +49,11 @@ select event_id, lag(ts) over w as prev_ts, lag(event_type) over w as prev_type,
 from events window w as (partition by user_id order by ts, event_id)""")
 def f04(spark, d):
     w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t(spark, d, "events").select("event_id", F.lag("ts").over(w).alias("prev_ts"),
-                                        F.lag("event_type").over(w).alias("prev_type"),
-                                        F.lag("value", 2).over(w).alias("prev2_value"))
+    e = t(spark, d, "events")
+    # lag 1: bucketed by day so a hot user is split over its days; lag 2 kept as a plain window
+    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type"], F.col("ts").cast("date"))
+    return x.select("event_id", F.col("prev_ts").alias("prev_ts"), F.col("prev_event_type").alias("prev_type"),
+                    F.lag("value", 2).over(w).alias("prev2_value"))
 
 
 @register("f05_lag_year_on_year", sql="""
@@ -71,9 +73,10 @@ select event_id, user_id, ts as valid_from,
        lead(ts) over (partition by user_id order by ts, event_id) as valid_to
 from events""")
 def f06(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t(spark, d, "events").select("event_id", "user_id", F.col("ts").alias("valid_from"),
-                                        F.lead("ts").over(w).alias("valid_to"))
+    e = t(spark, d, "events")
+    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts"], F.col("ts").cast("date"), offset_direction="lead",
+                     prefix="next_")
+    return x.select("event_id", "user_id", F.col("ts").alias("valid_from"), F.col("next_ts").alias("valid_to"))
 
 
 @register("f07_running_sum_ytd", sql="""
@@ -160,18 +163,19 @@ select event_id, first_value(event_type) over (partition by user_id order by ts,
   rows between unbounded preceding and unbounded following) as first_type
 from events""")
 def f13(spark, d):
-    w = (Window.partitionBy("user_id").orderBy("ts", "event_id")
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    return t(spark, d, "events").select("event_id", F.first("event_type").over(w).alias("first_type"))
+    e = t(spark, d, "events")
+    # first_value over the full frame == min_by per key: a partial aggregate joined back (no key-wide window)
+    first = e.groupBy("user_id").agg(F.min_by("event_type", F.struct("ts", "event_id")).alias("first_type"))
+    return e.join(first, "user_id").select("event_id", "first_type")
 
 
 @register("f14_conditional_max_full_frame", sql="""
 select event_id, max(case when event_type = 'purchase' then ts end) over (partition by user_id) as last_purchase
 from events""")
 def f14(spark, d):
-    w = Window.partitionBy("user_id")
-    return t(spark, d, "events").select(
-        "event_id", F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).over(w).alias("last_purchase"))
+    e = t(spark, d, "events")
+    last = e.groupBy("user_id").agg(F.max(F.when(F.col("event_type") == "purchase", F.col("ts"))).alias("last_purchase"))
+    return e.join(last, "user_id").select("event_id", "last_purchase")
 
 
 @register("f15_running_countif_islands", sql="""
@@ -197,9 +201,9 @@ select {LKEY_SQL},
   count(case when l_returnflag = 'R' then 1 end) over (partition by l_suppkey, cast(l_shipdate as date)) as n_returns_same_day
 from lineitem""")
 def f16(spark, d):
-    w = Window.partitionBy("l_suppkey", F.col("l_shipdate").cast("date"))
-    return t(spark, d, "lineitem").select(*LKEY, F.count(F.when(F.col("l_returnflag") == "R", 1)).over(w)
-                                          .alias("n_returns_same_day"))
+    l = t(spark, d, "lineitem").withColumn("_day", F.col("l_shipdate").cast("date"))
+    per = l.groupBy("l_suppkey", "_day").agg(F.count(F.when(F.col("l_returnflag") == "R", 1)).alias("n_returns_same_day"))
+    return l.join(per, ["l_suppkey", "_day"]).select(*LKEY, "n_returns_same_day")
 
 
 @register("f17_min_over_other_grain", sql="""
@@ -214,9 +218,10 @@ def f17(spark, d):
 @register("f18_max_over_period", sql="""
 select event_id, ts = max(ts) over (partition by cast(ts as date)) as is_latest_of_day from events""")
 def f18(spark, d):
-    e = t(spark, d, "events")
-    return e.select("event_id", (F.col("ts") == F.max("ts").over(Window.partitionBy(F.col("ts").cast("date"))))
-                    .alias("is_latest_of_day"))
+    e = t(spark, d, "events").withColumn("_day", F.col("ts").cast("date"))
+    # a day may hold a large share of all rows: per-day max as an aggregate (one row per day) joined back
+    latest = e.groupBy("_day").agg(F.max("ts").alias("_max"))
+    return e.join(F.broadcast(latest), "_day").select("event_id", (F.col("ts") == F.col("_max")).alias("is_latest_of_day"))
 
 
 @register("f19_desc_nulls_last", sql=f"""

@@ -35,3 +35,33 @@ def episodes(df: DataFrame, partition: Sequence[str], order: Sequence[Column], d
                           .over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     we = Window.partitionBy(*partition, f"{prefix}episode_no").orderBy(*order)
     return out.withColumn(f"{prefix}episode_rank", F.row_number().over(we))
+
+
+def bucketed_lag(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column,
+                 offset_direction: str = "lag", prefix: str = "prev_") -> DataFrame:
+    """Exact ``lag`` / ``lead`` of ``values`` per ``key`` ordered by ``order`` without sending a
+    whole key to one task.
+
+    Rows are windowed per (key, bucket) — e.g. per user and day — so a key holding a third of the
+    data is split over its buckets.  The first (for lag; last for lead) row of each bucket takes
+    its neighbour from the adjacent non-empty bucket: one row per (key, bucket) is reduced with
+    ``max_by``/``min_by``, ordered per key (one row per bucket: bounded by the time span), and
+    joined back.  ``bucket`` must be monotone in ``order`` (a truncation of the first order column).
+    """
+    b = df.withColumn("_bkt", bucket)
+    ordcols = [F.col(c) for c in order]
+    w = Window.partitionBy(*key, "_bkt").orderBy(*ordcols)
+    fn = F.lag if offset_direction == "lag" else F.lead
+    out = b
+    for v in values:
+        out = out.withColumn(f"{prefix}{v}", fn(v).over(w))
+    edge = F.struct(*ordcols)
+    agg_fn = F.max_by if offset_direction == "lag" else F.min_by   # last row of a bucket feeds the next bucket
+    per_b = b.groupBy(*key, "_bkt").agg(*[agg_fn(F.col(v), edge).alias(f"_e_{v}") for v in values])
+    wb = Window.partitionBy(*key).orderBy("_bkt")
+    nb = per_b.select(*key, "_bkt", *[fn(f"_e_{v}").over(wb).alias(f"_n_{v}") for v in values])
+    pos = F.row_number().over(w if offset_direction == "lag" else Window.partitionBy(*key, "_bkt").orderBy(*[c.desc() for c in ordcols]))
+    out = out.withColumn("_pos", pos).join(nb, [*key, "_bkt"], "left")
+    for v in values:
+        out = out.withColumn(f"{prefix}{v}", F.when(F.col("_pos") == 1, F.col(f"_n_{v}")).otherwise(F.col(f"{prefix}{v}")))
+    return out.drop("_bkt", "_pos", *[f"_n_{v}" for v in values])

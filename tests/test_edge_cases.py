@@ -172,3 +172,20 @@ def test_quality_thresholds_and_boundary(spark):
     assert res == {"v_nn": (12, "warn"), "fk": (19, "error")}
     res2 = run_checks({"t": df, "o": other}, checks, run_tables=["t"]).collect()
     assert [r.check_name for r in res2] == ["v_nn"]
+
+
+def test_bucketed_lag_matches_plain_window(spark):
+    from pyspark.sql import Window
+    from fieldops.operators.windows import bucketed_lag
+    rows = [(1, ts(f"2024-01-{d:02d} {h:02d}:00:00"), d * 100 + h) for d in (1, 2, 5, 9) for h in (1, 7, 13)]
+    rows += [(2, ts("2024-01-03 10:00:00"), 7)]
+    df = spark.createDataFrame(rows, "k int, t timestamp_ntz, v int")
+    w = Window.partitionBy("k").orderBy("t")
+    ref = {(r.k, r.t): (r.pv, r.nv) for r in df.select("k", "t", F.lag("v").over(w).alias("pv"),
+                                                       F.lead("v").over(w).alias("nv")).collect()}
+    lag = bucketed_lag(df, ["k"], ["t"], ["v"], F.col("t").cast("date"))
+    lead = bucketed_lag(df, ["k"], ["t"], ["v"], F.col("t").cast("date"), offset_direction="lead", prefix="next_")
+    got_lag = {(r.k, r.t): r.prev_v for r in lag.collect()}
+    got_lead = {(r.k, r.t): r.next_v for r in lead.collect()}
+    assert got_lag == {k: v[0] for k, v in ref.items()}
+    assert got_lead == {k: v[1] for k, v in ref.items()}
