@@ -91,10 +91,13 @@ def history_view(history: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def backfill_leading_nulls(df: DataFrame, keys: Sequence[str], order: Sequence[str], cols: Sequence[str]) -> DataFrame:
-    """E30 — leading NULLs take the first known value of the key (full frame, ignore nulls)."""
-    w = (Window.partitionBy(*keys).orderBy(*order)
-         .rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
-    out = df
+    """E30 — NULLs take the first known value of the key (``first_value(… ignore nulls)`` over the
+    full frame).  Computed as a partial aggregate (``min_by`` of the non-NULL values) joined back, so
+    a key with a huge history is reduced map-side instead of sorted in one task."""
+    o = F.struct(*[F.col(c) for c in order])
+    firsts = df.groupBy(*keys).agg(*[F.min_by(F.when(F.col(c).isNotNull(), F.col(c)),
+                                              F.when(F.col(c).isNotNull(), o)).alias(f"_first_{c}") for c in cols])
+    out = df.join(firsts, list(keys), "left")
     for c in cols:
-        out = out.withColumn(c, F.coalesce(F.col(c), F.first(c, ignorenulls=True).over(w)))
+        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_first_{c}"))).drop(f"_first_{c}")
     return out
