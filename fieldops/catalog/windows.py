@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldops.catalog import register
 from fieldops.catalog.fixtures import t
 from fieldops.functions.scalar import round_half_up
-from fieldops.operators.windows import bucketed_lag, episodes, top1
+from fieldops.operators.windows import bucketed_lag, episodes_bucketed, top1
 
 DEC = "decimal(18,2)"
 LKEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
@@ -191,7 +191,8 @@ select event_id, user_id, gap_days, is_new_episode, episode_no,
 from n""")
 def f15(spark, d):
     e = t(spark, d, "events").withColumn("day", F.col("ts").cast("date"))
-    out = episodes(e, ["user_id"], [F.col("ts"), F.col("event_id")], "day", gap_days=1)
+    # bucketed by week: a user holding a third of all events is split over its weeks
+    out = episodes_bucketed(e, ["user_id"], ["ts", "event_id"], "day", gap_days=1, bucket=F.trunc("day", "week"))
     return out.select("event_id", "user_id", "gap_days", "is_new_episode",
                       F.col("episode_no").cast("long").alias("episode_no"), "episode_rank")
 

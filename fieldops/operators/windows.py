@@ -65,3 +65,51 @@ def bucketed_lag(df: DataFrame, key: Sequence[str], order: Sequence[str], values
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.when(F.col("_pos") == 1, F.col(f"_n_{v}")).otherwise(F.col(f"{prefix}{v}")))
     return out.drop("_bkt", "_pos", *[f"_n_{v}" for v in values])
+
+
+def bucketed_running(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column,
+                     sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None) -> DataFrame:
+    """Running (unbounded preceding → current row) sums and maxes per ``key`` without a key-wide
+    window: windows run per (key, bucket); each bucket's totals (one row per key-bucket) give the
+    offset contributed by earlier buckets.  Exact when ``bucket`` is monotone in ``order``.
+
+    sums / maxes: output name → Column to accumulate.
+    """
+    sums, maxes = sums or {}, maxes or {}
+    b = df.withColumn("_bkt", bucket)
+    for n, c in {**sums, **maxes}.items():
+        b = b.withColumn(f"_v_{n}", c)
+    w = (Window.partitionBy(*key, "_bkt").orderBy(*[F.col(c) for c in order])
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    per = b.groupBy(*key, "_bkt").agg(*[F.sum(f"_v_{n}").alias(f"_t_{n}") for n in sums],
+                                      *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxes])
+    wb = Window.partitionBy(*key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
+    off = per.select(*key, "_bkt", *[F.sum(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in sums],
+                     *[F.max(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in maxes])
+    out = b.join(off, [*key, "_bkt"], "left")
+    for n in sums:
+        out = out.withColumn(n, F.sum(f"_v_{n}").over(w) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)))
+    for n in maxes:
+        out = out.withColumn(n, F.greatest(F.max(f"_v_{n}").over(w), F.col(f"_o_{n}")))
+    drop = ["_bkt"] + [f"_v_{n}" for n in {**sums, **maxes}] + [f"_o_{n}" for n in {**sums, **maxes}]
+    return out.drop(*drop)
+
+
+def episodes_bucketed(df: DataFrame, key: Sequence[str], order: Sequence[str], day_col: str, gap_days: int,
+                      bucket: Column) -> DataFrame:
+    """F15 / K24 at scale — same columns as ``episodes`` (gap_days, is_new_episode, episode_no,
+    episode_rank) plus ``episode_size``, with no window wider than one (key, bucket):
+    gap from ``bucketed_lag``; episode number, row position and position of the episode start as
+    bucketed running sums / maxes; size as an aggregate per (key, episode)."""
+    x = bucketed_lag(df, key, order, [day_col], bucket, prefix="_prev_")
+    gap = F.datediff(F.col(day_col), F.col(f"_prev_{day_col}"))
+    x = (x.withColumn("gap_days", gap)
+          .withColumn("is_new_episode", F.col("gap_days").isNull() | (F.col("gap_days") > gap_days))
+          .drop(f"_prev_{day_col}"))
+    x = bucketed_running(x, key, order, bucket, sums={"episode_no": F.col("is_new_episode").cast("long"),
+                                                     "_pos": F.lit(1).cast("long")})
+    x = bucketed_running(x, key, order, bucket,
+                         maxes={"_start": F.when(F.col("is_new_episode"), F.col("_pos"))})
+    x = x.withColumn("episode_rank", (F.col("_pos") - F.col("_start") + 1).cast("int")).drop("_pos", "_start")
+    size = x.groupBy(*key, "episode_no").agg(F.count(F.lit(1)).alias("episode_size"))
+    return x.join(size, [*key, "episode_no"])

@@ -189,3 +189,16 @@ def test_bucketed_lag_matches_plain_window(spark):
     got_lead = {(r.k, r.t): r.next_v for r in lead.collect()}
     assert got_lag == {k: v[0] for k, v in ref.items()}
     assert got_lead == {k: v[1] for k, v in ref.items()}
+
+
+def test_bucketed_episodes_match_plain_windows(spark):
+    from fieldops.operators.windows import episodes, episodes_bucketed
+    days = [1, 2, 3, 10, 11, 30, 31, 32, 33, 60]
+    rows = [(1, i, dt.date(2024, 1, 1) + dt.timedelta(days=d)) for i, d in enumerate(days)]
+    rows += [(2, 100 + i, dt.date(2024, 3, 1) + dt.timedelta(days=3 * i)) for i in range(5)]
+    df = spark.createDataFrame(rows, "k int, id int, d date")
+    plain = {r.id: (r.gap_days, r.is_new_episode, r.episode_no, r.episode_rank) for r in
+             episodes(df, ["k"], [F.col("d"), F.col("id")], "d", gap_days=2).collect()}
+    buck = {r.id: (r.gap_days, r.is_new_episode, r.episode_no, r.episode_rank) for r in
+            episodes_bucketed(df, ["k"], ["d", "id"], "d", gap_days=2, bucket=F.trunc("d", "week")).collect()}
+    assert plain == buck
