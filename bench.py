@@ -24,7 +24,9 @@ HEADLINE = [
     "k11_reorder_point", "k10_walk_forward_backtest", "k06_demand_classification", "k09_forecast",
     "k05_monthly_demand", "e01_hash_group_by", "d09_effective_dated_join", "d10_rolling_range_join",
     "d11_between_events_inclusive", "f09_range_frame_4_weeks", "t01_business_minutes",
-    "t02_business_days", "c14_keep_latest", "b14_first_acceptable_token",
+    "t02_business_days", "c14_keep_latest", "b14_first_acceptable_token", "k14_depot_stockout_reconstruction",
+    "k17_consumption_source_arbitration", "k29_sla_business_days_bonus", "k40_ticket_sla", "k44_pnl_by_unit",
+    "f15_running_countif_islands", "u06_customer_delivery", "q03_unique_combination",
 ]
 
 
