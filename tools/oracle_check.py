@@ -22,15 +22,18 @@ from fieldops.session import build_session  # noqa: E402
 from fieldops.sources.tables import TABLES  # noqa: E402
 
 
+STRICT = False
+
+
 def norm(v):
     if v is None:
         return "∅"
     if isinstance(v, float):
         if math.isnan(v):
             return "∅"
-        return f"{v:.6g}"
+        return repr(v) if STRICT else f"{v:.6g}"
     if isinstance(v, decimal.Decimal):
-        return f"{float(v):.6g}"
+        return repr(float(v)) if STRICT else f"{float(v):.6g}"
     if isinstance(v, bool):
         return str(v)
     if isinstance(v, int):
@@ -56,8 +59,11 @@ def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--show", action="store_true")
+    ap.add_argument("--strict", action="store_true", help="compare floats/decimals exactly (repr)")
     ap.add_argument("prefix", nargs="*")
     a = ap.parse_args()
+    global STRICT
+    STRICT = a.strict
     spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for tname in TABLES:
