@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from fieldops.catalog import register
 from fieldops.catalog.fixtures import t
 from fieldops.functions.scalar import round_half_up
-from fieldops.operators.windows import bucketed_lag, episodes_bucketed, top1
+from fieldops.operators.windows import bucketed_lag, bucketed_running, episodes_bucketed, top1
 
 DEC = "decimal(18,2)"
 LKEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice"]
@@ -101,11 +101,14 @@ from v""")
 def f08(spark, d):
     l = t(spark, d, "lineitem")
     v = l.groupBy("l_suppkey", "l_partkey").agg(F.sum(F.col("l_extendedprice").cast(DEC)).alias("value"))
-    wc = (Window.partitionBy("l_suppkey").orderBy(F.col("value").desc(), "l_partkey")
-          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    pct = (100 * F.sum("value").over(wc).cast("double")
-           / F.sum("value").over(Window.partitionBy("l_suppkey")).cast("double"))
-    return v.withColumn("cum_pct", round_half_up(pct, 4))
+    # running share per supplier without a supplier-wide window: windows per (supplier, value
+    # octave slice) + offsets of the earlier slices; exact because the sums are decimals
+    bucket = F.when(F.col("value") > 0, -F.floor(F.log2(F.col("value").cast("double")) * 8)).otherwise(F.lit(1 << 30))
+    x = bucketed_running(v.withColumn("_neg", -F.col("value")), ["l_suppkey"], ["_neg", "l_partkey"], bucket.cast("long"),
+                         sums={"_cum": F.col("value")})
+    tot = v.groupBy("l_suppkey").agg(F.sum("value").alias("_tot"))
+    pct = 100 * F.col("_cum").cast("double") / F.col("_tot").cast("double")
+    return x.join(tot, "l_suppkey").select("l_suppkey", "l_partkey", "value", round_half_up(pct, 4).alias("cum_pct"))
 
 
 SQL_F09 = """
