@@ -25,9 +25,12 @@ def _cal(spark):
 
 
 def _event_pairs(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    return t(spark, d, "events").select("event_id", "user_id", F.col("ts").alias("start_ts"),
-                                        F.lead("ts").over(w).alias("end_ts"))
+    from fieldops.operators.windows import bucketed_lag
+    e = t(spark, d, "events")
+    # next event per user, bucketed by day so a very active user is not one task
+    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts"], F.col("ts").cast("date"), offset_direction="lead",
+                     prefix="next_")
+    return x.select("event_id", "user_id", F.col("ts").alias("start_ts"), F.col("next_ts").alias("end_ts"))
 
 
 @register("t01_business_minutes", sql=f"""

@@ -146,9 +146,10 @@ with x as (select event_id, ts, lead(ts) over (partition by user_id order by ts,
 select event_id, date_sub('minute', ts, nxt) as mins, date_sub('second', ts, nxt) as secs,
        date_sub('day', ts, nxt) as days from x""")
 def s16(spark, d):
-    from pyspark.sql import Window
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    x = t(spark, d, "events").select("event_id", "ts", F.lead("ts").over(w).alias("nxt"))
+    from fieldops.operators.windows import bucketed_lag
+    e = t(spark, d, "events")
+    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts"], F.col("ts").cast("date"), offset_direction="lead",
+                     prefix="next_").select("event_id", "ts", F.col("next_ts").alias("nxt"))
     return x.select("event_id", F.timestamp_diff("MINUTE", "ts", "nxt").alias("mins"),
                     F.timestamp_diff("SECOND", "ts", "nxt").alias("secs"),
                     F.timestamp_diff("DAY", "ts", "nxt").alias("days"))

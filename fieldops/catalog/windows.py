@@ -154,11 +154,13 @@ select l_suppkey, l_partkey,
 from v""")
 def f12(spark, d):
     v = t(spark, d, "lineitem").groupBy("l_suppkey", "l_partkey").agg(F.sum("l_quantity").alias("qty"))
-    return v.select("l_suppkey", "l_partkey",
-                    round_half_up(F.col("qty") / F.sum("qty").over(Window.partitionBy("l_suppkey")), 6)
-                    .alias("share_in_supplier"),
-                    round_half_up(F.sum("qty").over(Window.partitionBy("l_partkey"))
-                                  / F.sum("qty").over(Window.partitionBy()), 6).alias("part_share"))
+    # partition totals as aggregates joined back (the grand total is one row: no window over all rows)
+    by_supp = v.groupBy("l_suppkey").agg(F.sum("qty").alias("_s"))
+    by_part = v.groupBy("l_partkey").agg(F.sum("qty").alias("_p"))
+    grand = v.agg(F.sum("qty").alias("_g"))
+    x = v.join(by_supp, "l_suppkey").join(by_part, "l_partkey").crossJoin(F.broadcast(grand))
+    return x.select("l_suppkey", "l_partkey", round_half_up(F.col("qty") / F.col("_s"), 6).alias("share_in_supplier"),
+                    round_half_up(F.col("_p") / F.col("_g"), 6).alias("part_share"))
 
 
 @register("f13_first_value_full_frame", sql="""
