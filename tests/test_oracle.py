@@ -19,7 +19,8 @@ SF = "/root/testdata/sf0.001"
 SAMPLE = ["b14_first_acceptable_token", "c07_eav_json_to_columns", "d10_rolling_range_join", "d13_wildcard_rule_join",
           "e12_unpivot_multi_column", "f09_range_frame_4_weeks", "g04_latest_partition_filter", "h02_union_typed_null_padding",
           "s19_zoned_date_and_timestamp", "t01_business_minutes", "k11_reorder_point", "k14_depot_stockout_reconstruction",
-          "k40_ticket_sla", "q03_unique_combination", "e25_scd2_check_columns", "w03_tumbling_monday_weeks"]
+          "k40_ticket_sla", "q03_unique_combination", "e25_scd2_check_columns", "w03_tumbling_monday_weeks",
+          "w01_stream_upsert_by_key", "w05_open_interval_state", "k17_consumption_source_arbitration", "f15_running_countif_islands"]
 
 REG = load_all()
 NAMES = [n for n in REG if REG[n].sql] if os.environ.get("FIELDOPS_ALL_ORACLES") else [n for n in SAMPLE if n in REG]
