@@ -48,12 +48,13 @@ select event_id, lag(ts) over w as prev_ts, lag(event_type) over w as prev_type,
        lag(value, 2) over w as prev2_value
 from events window w as (partition by user_id order by ts, event_id)""")
 def f04(spark, d):
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
     e = t(spark, d, "events")
-    # lag 1: bucketed by day so a hot user is split over its days; lag 2 kept as a plain window
-    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type"], F.col("ts").cast("date"))
-    return x.select("event_id", F.col("prev_ts").alias("prev_ts"), F.col("prev_event_type").alias("prev_type"),
-                    F.lag("value", 2).over(w).alias("prev2_value"))
+    day = F.col("ts").cast("date")
+    # bucketed by day so a hot user is split over its days; lag 2 = lag 1 of the lagged value
+    x = bucketed_lag(e, ["user_id"], ["ts", "event_id"], ["ts", "event_type", "value"], day)
+    x = bucketed_lag(x, ["user_id"], ["ts", "event_id"], ["prev_value"], day, prefix="lag2_")
+    return x.select("event_id", "prev_ts", F.col("prev_event_type").alias("prev_type"),
+                    F.col("lag2_prev_value").alias("prev2_value"))
 
 
 @register("f05_lag_year_on_year", sql="""
