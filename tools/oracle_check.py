@@ -60,11 +60,17 @@ def main():
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--show", action="store_true")
     ap.add_argument("--strict", action="store_true", help="compare floats/decimals exactly (repr)")
+    ap.add_argument("--plain", action="store_true", help="use a default session (as the driver does)")
     ap.add_argument("prefix", nargs="*")
     a = ap.parse_args()
     global STRICT
     STRICT = a.strict
-    spark = build_session(shuffle_partitions=8)
+    if a.plain:
+        from pyspark.sql import SparkSession
+        spark = (SparkSession.builder.master("local[*]").config("spark.sql.shuffle.partitions", "8")
+                 .config("spark.ui.enabled", "false").getOrCreate())
+    else:
+        spark = build_session(shuffle_partitions=8)
     con = duckdb.connect()
     for tname in TABLES:
         con.execute(f"create view {tname} as select * from read_parquet('{a.sf}/{tname}.parquet')")
