@@ -49,12 +49,49 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    """Key of a document row: the id (null sorts first) and a hash of its text.
+NO_ID = -(1 << 63)
+
+
+def with_key(docs: DataFrame) -> DataFrame:
+    """docs (doc_id, text, ...) with the key (did, tk) of a document: its id (null sorts first) and, if
+    rows with other texts share that id, a hash of the text (else 0).
 
     Rows with the same id and text are one document; rows that share only the id stay apart."""
-    return [F.coalesce(F.col(doc_id).cast("long"), F.lit(-(1 << 63)).cast("long")).alias("did"),
-            F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("tk")]
+    several = staged(docs.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1 or doc_id is null").select(
+        F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("did"), F.lit(True).alias("several")), "ids")
+    did = docs.withColumn("did", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    digest = F.xxhash64(F.coalesce("text", F.lit("")))
+    return (did.join(several, "did", "left")
+            .withColumn("tk", F.when(F.col("several"), digest).otherwise(F.lit(0).cast("long"))).drop("several"))
+
+
+def squeezed(docs: DataFrame) -> DataFrame:
+    """docs with ``text`` replaced by ``z``, compressed row by row: for shuffles, which it halves."""
+    others = [c for c in docs.columns if c != "text"]
+    schema = extended(docs.select(*others).schema, ("z", "binary"))
+
+    def run(batches):
+        codec = pa.Codec("zstd", 1)
+        for b in steps(batches):
+            rest = [b.column(i) for i, name in enumerate(b.schema.names) if name != "text"]
+            raw = b.column(b.schema.get_field_index("text")).cast(pa.large_binary()).fill_null(b"")
+            z = [np.int64(len(x)).tobytes() + codec.compress(x, asbytes=True) for x in raw.to_pylist()]
+            yield pa.RecordBatch.from_arrays([*rest, pa.array(z, pa.binary())], names=schema.names)
+
+    return docs.select(*others, "text").mapInArrow(run, schema)
+
+
+def expanded(batch: pa.RecordBatch) -> list[bytes]:
+    """The texts of a batch with ``z``, as UTF-8."""
+    codec = pa.Codec("zstd")
+    return [codec.decompress(x[8:], decompressed_size=int(np.frombuffer(x[:8], np.int64)[0]), asbytes=True)
+            for x in batch.column(batch.schema.get_field_index("z")).to_pylist()]
+
+
+def joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Texts end to end and their offsets, as text_buffer() gives them."""
+    offs = np.concatenate(([0], np.cumsum([len(t) for t in texts]))).astype(np.int64)
+    return np.frombuffer(b"".join(texts), np.uint8), offs
 
 
 def crc_remainder(doc_id: Column, n: int) -> Column:

@@ -9,6 +9,7 @@ always meet under that gram's hash, yet only about one position in half a window
 
 Anchors with the same (h, c) agree on every window; only anchors that share h and differ in c
 need their windows compared one by one, and of equal ones a single representative does.
+Fingerprints are 64 bits wide; a window counts as repeated if its gram's and its own agree.
 """
 from __future__ import annotations
 
@@ -59,8 +60,7 @@ def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
     return doc[s0], s0, s1, grams[p], cover
 
 
-def _elements(batch: pa.RecordBatch, unit: str) -> tuple[np.ndarray, np.ndarray]:
-    buf, offs = C.text_buffer(batch.column(batch.schema.get_field_index("text")))
+def _elements(buf: np.ndarray, offs: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
     if unit == "byte":
         return C.BYTE_VALUES[buf], offs
     starts, ends, woffs = C.word_spans(buf, offs)
@@ -72,7 +72,7 @@ def anchors(docs: DataFrame, unit: str, gram: int, window: int) -> DataFrame:
 
     def run(batches):
         for b in C.steps(batches):
-            values, offs = _elements(b, unit)
+            values, offs = _elements(*C.text_buffer(b.column(b.schema.get_field_index("text"))), unit)
             did = b.column(b.schema.get_field_index("did")).to_numpy(zero_copy_only=False)
             tk = b.column(b.schema.get_field_index("tk")).to_numpy(zero_copy_only=False)
             pieces = [(0, len(values), offs)]
@@ -93,57 +93,143 @@ def anchors(docs: DataFrame, unit: str, gram: int, window: int) -> DataFrame:
     return docs.select("did", "tk", "text").mapInArrow(run, ANCHOR_SCHEMA)
 
 
-def windows(docs: DataFrame, runs: DataFrame, unit: str, window: int) -> DataFrame:
-    """Each window whose start lies in a run (did, tk, s0, s1): (w: hash, did, tk, s).
+#: classes of one gram that are compared in one task
+GROUP = 4096
+#: bytes of contexts that are compared at once
+COMPARE_BYTES = 1 << 20
 
-    A row that is repeated in docs gives its windows again; callers tell spots apart, not rows."""
-    spans = runs.groupBy("did", "tk").agg(F.collect_list("s0").alias("s0s"), F.collect_list("s1").alias("s1s"))
-    joined = docs.select("did", "tk", "text").join(spans, ["did", "tk"])
+
+def _contexts(docs: DataFrame, reps: DataFrame, unit: str, window: int) -> DataFrame:
+    """What the windows of each run of reps (h, salts, did, tk, s0, s1) hold: the bytes they cover, or
+    for words the windows' hashes."""
+    runs = reps.groupBy("did", "tk").agg(F.collect_list(F.struct("h", "salts", "s0", "s1")).alias("runs"))
+    texts = C.squeezed(docs.select("did", "tk", "text")).join(runs, ["did", "tk"])
 
     def run(batches):
-        for b in C.steps(batches):
-            values, offs = _elements(b, unit)
-            prefix = C.prefix_hash(values)
-            s0s = b.column(b.schema.get_field_index("s0s"))
-            s1s = b.column(b.schema.get_field_index("s1s"))
-            doc = np.repeat(np.arange(b.num_rows), s0s.value_lengths().to_numpy())
-            lo, hi = s0s.flatten().to_numpy(), s1s.flatten().to_numpy()
-            count = (hi - lo + 1).astype(np.int64)
-            start = C.ranges(lo.astype(np.int64), count)
-            doc = np.repeat(doc, count)
-            at = start + offs[doc]
-            w = C.range_hash(prefix, at, at + window)
-            did = b.column(b.schema.get_field_index("did")).to_numpy(zero_copy_only=False)
-            tk = b.column(b.schema.get_field_index("tk")).to_numpy(zero_copy_only=False)
-            for i in range(0, len(w), 500_000):
-                part = slice(i, i + 500_000)
+        for b in C.steps(batches, "z", C.STEP_BYTES // 2):
+            buf, offs = C.joined(C.expanded(b))
+            lists = b.column(b.schema.get_field_index("runs"))
+            doc = np.repeat(np.arange(b.num_rows), lists.value_lengths().to_numpy())
+            flat = lists.flatten()
+            h, salts, s0, s1 = (flat.field(i).to_numpy(zero_copy_only=False) for i in range(4))
+            did = b.column(b.schema.get_field_index("did")).to_numpy(zero_copy_only=False)[doc]
+            tk = b.column(b.schema.get_field_index("tk")).to_numpy(zero_copy_only=False)[doc]
+            if unit == "byte":
+                a = (offs[doc] + s0).tolist()
+                e = (offs[doc] + s1 + window).tolist()
+                data = buf.tobytes()
+                held = [data[x:y] for x, y in zip(a, e)]
+            else:
+                values, woffs = _elements(buf, offs, unit)
+                n = (s1 - s0 + 1).astype(np.int64)
+                at = C.ranges(woffs[doc] + s0, n)
+                data = C.range_hash(C.prefix_hash(values), at, at + window).tobytes()
+                cut = (8 * np.concatenate(([0], np.cumsum(n)))).tolist()
+                held = [data[x:y] for x, y in zip(cut[:-1], cut[1:])]
+            salt = C.mix(did.astype(np.uint64) + C.mix(tk.astype(np.uint64) + s0.astype(np.uint64))) % salts.astype(np.uint64)
+            for i in range(0, len(held), 5000):
+                p = slice(i, i + 5000)
                 yield pa.RecordBatch.from_arrays(
-                    [C.signed(w[part]), pa.array(did[doc[part]]), pa.array(tk[doc[part]]),
-                     pa.array(start[part].astype(np.int32))], names=["w", "did", "tk", "s"])
+                    [pa.array(h[p]), pa.array(salt[p].astype(np.int32)), pa.array(salts[p] > 1), pa.array(did[p]),
+                     pa.array(tk[p]), pa.array(s0[p].astype(np.int32)), pa.array(held[p], pa.binary())],
+                    names=["h", "salt", "hot", "did", "tk", "s0", "held"])
+
+    return texts.mapInArrow(run, "h long, salt int, hot boolean, did long, tk long, s0 int, held binary")
 
-    return joined.mapInArrow(run, "w long, did long, tk long, s int")
+
+FOUND_SCHEMA = "w long, did long, tk long, s0 int, s1 int"
+
+
+def _compare(rows: pa.Table, unit: str, window: int, keep_first: bool) -> pa.RecordBatch:
+    """Runs of repeated windows among whole groups of contexts (w null), and of groups that are dealt
+    over several tasks the first spot of each distinct window (w its hash)."""
+    did, tk, s0 = (rows.column(c).to_numpy() for c in ("did", "tk", "s0"))
+    hot = rows.column("hot").to_numpy()
+    buf, offs = C.text_buffer(rows.column("held"))
+    n = np.diff(offs)
+    if unit == "byte":
+        n = n - window + 1
+        at = C.ranges(offs[:-1], n)
+        w = C.range_hash(C.prefix_hash(C.BYTE_VALUES[buf]), at, at + window)
+    else:
+        n = n // 8
+        w = np.frombuffer(buf.tobytes(), np.uint64)
+    own = np.repeat(np.arange(len(n)), n)
+    s = C.ranges(s0.astype(np.int64), n)
+    order = np.lexsort((s, tk[own], did[own], w))
+    w, own, s = w[order], own[order], s[order]
+    new = np.ones(len(w), bool)
+    new[1:] = w[1:] != w[:-1]
+    same_spot = np.zeros(len(w), bool)  # rows that repeat a document give its spots again
+    same_spot[1:] = ~new[1:] & (s[1:] == s[:-1]) & (did[own[1:]] == did[own[:-1]]) & (tk[own[1:]] == tk[own[:-1]])
+    w, own, s, new = w[~same_spot], own[~same_spot], s[~same_spot], new[~same_spot]
+    flagged = ~new
+    if not keep_first:
+        flagged[:-1] |= ~new[1:]
+    f_own, f_s = own[flagged], s[flagged]
+    order = np.lexsort((f_s, f_own))
+    f_own, f_s = f_own[order], f_s[order]
+    start = np.ones(len(f_s), bool)
+    start[1:] = (f_own[1:] != f_own[:-1]) | (f_s[1:] != f_s[:-1] + 1)
+    a = np.flatnonzero(start)
+    b = np.append(a[1:], len(f_s)) - 1
+    one = np.flatnonzero(new & hot[own])
+    row = np.concatenate((f_own[a], own[one])) if len(a) else own[one]
+    lo, hi = np.concatenate((f_s[a], s[one])), np.concatenate((f_s[b] if len(a) else f_s, s[one]))
+    mark = pa.array(np.concatenate((np.zeros(len(a), np.int64), w[one].view(np.int64))),
+                    mask=np.arange(len(row)) < len(a))
+    return pa.RecordBatch.from_arrays(
+        [mark, pa.array(did[row]), pa.array(tk[row]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
+        names=["w", "did", "tk", "s0", "s1"])
 
 
 def repeated_starts(docs: DataFrame, reps: DataFrame, unit: str, window: int, keep_first: bool) -> DataFrame:
-    """Window by window, the starts (did, tk, s0, s1) inside the runs ``reps`` that repeat among them.
+    """Window by window, the starts (did, tk, s0, s1) inside the runs of reps that repeat among them.
 
+    reps: (h, k, did, tk, s0, s1), k the number of rows with this h.  Windows can only be equal
+    under the same h, so contexts are sorted by h and compared in one task, up to GROUP; more of one
+    h are dealt over several tasks, each of which sends on its distinct windows once, and those are
+    compared by aggregate and join.
     keep_first: only those for which the same sequence also starts earlier (smaller did, tk,
-    start); else all for which it starts anywhere else.  Each occurrence is one row, and a hash's
-    rows are reduced by partial aggregates, so a hot passage is not gathered in one task."""
-    rows = C.staged(windows(docs, reps, unit, window), "windows")
-    spot = F.struct("did", "tk", "s")
-    twice = (rows.groupBy("w").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
+    start); else all for which it starts anywhere else."""
+    salted = reps.withColumn("salts", F.ceil(F.col("k") / GROUP).cast("int"))
+    rows = _contexts(docs, salted, unit, window)
+    rows = rows.repartition(C.partitions(docs.sparkSession), "h", "salt").sortWithinPartitions("h", "salt")
+
+    def run(batches):
+        held, size = [], 0
+        for b in batches:
+            held.append(b)
+            size += b.nbytes
+            if size < COMPARE_BYTES:
+                continue
+            rows = pa.Table.from_batches(held)
+            h, salt = rows.column("h").to_numpy(), rows.column("salt").to_numpy()
+            last = np.flatnonzero((h != h[-1]) | (salt != salt[-1]))
+            cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
+            if cut:
+                yield _compare(rows.slice(0, cut), unit, window, keep_first)
+            held, size = rows.slice(cut).to_batches(), rows.slice(cut).nbytes
+        if held:
+            yield _compare(pa.Table.from_batches(held), unit, window, keep_first)
+
+    found = C.staged(rows.mapInArrow(run, FOUND_SCHEMA), "found")
+    sure = found.where("w is null").drop("w")
+    open_ = found.where("w is not null")
+    spot = F.struct("did", "tk", "s0")
+    twice = (open_.groupBy("w").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
              .where("first != last").select("w", "first"))
-    part = rows.join(twice, "w")
+    part = open_.join(twice, "w")
     if keep_first:
         part = part.where(spot > F.col("first"))
-    return part.select("did", "tk", F.col("s").alias("s0"), F.col("s").alias("s1"))
+    return sure.unionByName(part.select("did", "tk", "s0", "s1"))
 
 
 def with_runs(docs: DataFrame, runs: DataFrame) -> DataFrame:
-    """docs with the arrays s0s and s1s of its runs (null where it has none)."""
+    """docs (did, tk, text, ...), the text compressed, with the arrays s0s and s1s of its runs (null
+    where it has none)."""
     spans = runs.groupBy("did", "tk").agg(F.collect_list("s0").alias("s0s"), F.collect_list("s1").alias("s1s"))
-    return docs.join(spans, ["did", "tk"], "left")
+    return C.squeezed(docs).join(spans, ["did", "tk"], "left")
 
 
 def removal_mask(n: int, s0, s1, window: int) -> np.ndarray:

@@ -1,9 +1,10 @@
 """Substring de-duplication by level-wise doubling.
 
-Level by level, only windows that repeat at one length are extended to twice that length.  The
-first level counts grams of half a window, sampled so that each window holds the gram that stands
-for it (``repeats.py``); the second looks at whole windows, and only around grams that repeat.
-``longer_repeats`` goes on from there, until no window survives.
+Level by level, only windows that repeat at one length are extended to longer ones.  The first
+level counts grams of a quarter of a window, sampled so that each window holds the gram that stands
+for it (``repeats.py``); of grams that repeat, the next compares all that their windows cover (the
+gram and its surroundings, twice and four times as long); only where that differs are single
+windows compared.  ``longer_repeats`` goes on by doubling the window until no candidate survives.
 
 Rows: a null, empty or short text has no window; it keeps all its words.  "Earlier" is the order of
 (doc_id, text hash, start) with a null doc_id first, so rows that share only the id are ordered by
@@ -16,7 +17,6 @@ from __future__ import annotations
 import hashlib
 from itertools import compress
 
-import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -28,8 +28,9 @@ WINDOW = 20
 
 
 def later_runs(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
-    """Runs (did, tk, s0, s1) of starts of windows whose word sequence also starts earlier."""
-    level1 = R.anchors(keyed, "word", window // 2, window)
+    """Runs (did, tk, s0, s1) of starts of windows of keyed (did, tk, text) whose word sequence also
+    starts earlier."""
+    level1 = R.anchors(keyed, "word", max(1, window // 4), window)
     again = level1.select("h").groupBy("h").count().where("count > 1").select("h")
     hits = C.staged(level1.join(again, "h", "left_semi"), "hits")
     here = F.struct("did", "tk", "s0", "s1")
@@ -37,73 +38,62 @@ def later_runs(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     many = classes.where("rep != last").select("h", "c", "rep")
     whole = hits.join(many, ["h", "c"]).where(here > F.col("rep")).select("did", "tk", "s0", "s1")
     split = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
-    reps = classes.join(split, "h", "left_semi").select("rep.*")
+    reps = classes.join(split, "h").select("h", "k", "rep.*")
     return whole.unionByName(R.repeated_starts(keyed, reps, "word", window, keep_first=True))
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, kept: bool = True) -> DataFrame:
     """docs (doc_id, text, ...) with n_words, n_removed, kept_sha256 and, if asked for, ``kept``, the
-    words left, joined by one space."""
-    with_text = kept
-    keyed = C.carry(docs, "doc_id", "text").select("*", *C.doc_key())
+    words left, joined by one space (else the text is left out too)."""
+    keyed = C.with_key(C.carry(docs, "doc_id", "text"))
     runs = C.staged(later_runs(keyed.select("did", "tk", "text"), window), "runs")
     df = R.with_runs(keyed, runs)
-    schema = C.extended(df.schema, ("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string"),
-                        *[("kept", "string")] * with_text)
+    rest = [c for c in df.columns if c not in ("z", "s0s", "s1s", "did", "tk")]
+    with_text = kept
+    schema = C.extended(df.select(*rest).schema, ("n_words", "long"), ("n_removed", "long"), ("kept_sha256", "string"),
+                        *[("text", "string"), ("kept", "string")] * with_text)
 
     def run(batches):
-        for b in C.steps(batches):
-            buf, offs = C.text_buffer(b.column(b.schema.get_field_index("text")))
+        for b in C.steps(batches, "z", C.STEP_BYTES // 2):
+            texts = C.expanded(b)
             s0s = b.column(b.schema.get_field_index("s0s")).to_pylist()
             s1s = b.column(b.schema.get_field_index("s1s")).to_pylist()
-            n_words, removed, digests, lines = [], [], [], []
-            for i in range(b.num_rows):
-                words = buf[offs[i]: offs[i + 1]].tobytes().split()
+            n_words, removed, lines = [], [], []
+            for text, s0, s1 in zip(texts, s0s, s1s):
+                words = text.split()
                 n_words.append(len(words))
-                if s0s[i]:
-                    keep = ~R.removal_mask(len(words), s0s[i], s1s[i], window)
-                    words = list(compress(words, keep))
+                if s0:
+                    words = list(compress(words, ~R.removal_mask(len(words), s0, s1, window)))
                 removed.append(n_words[-1] - len(words))
-                left = b" ".join(words)
-                digests.append(hashlib.sha256(left).hexdigest())
-                lines.append(left)
+                lines.append(b" ".join(words))
             extra = [pa.array(n_words, pa.int64()), pa.array(removed, pa.int64()),
-                     pa.array(digests, pa.string())]
+                     pa.array([hashlib.sha256(x).hexdigest() for x in lines], pa.string())]
             if with_text:
-                extra.append(pa.array([x.decode() for x in lines], pa.string()))
-            yield pa.RecordBatch.from_arrays(b.columns + extra, names=schema.names)
+                extra += [pa.array([x.decode() for x in y], pa.string()) for y in (texts, lines)]
+            own = [b.column(b.schema.get_field_index(c)) for c in rest]
+            yield pa.RecordBatch.from_arrays(own + extra, names=schema.names)
 
-    return C.restore(df.mapInArrow(run, schema), "doc_id", "text", "n_words", "n_removed", "kept_sha256",
-                     *["kept"] * with_text)
+    return C.restore(df.mapInArrow(run, schema), "doc_id", *["text"] * with_text, "n_words", "n_removed",
+                     "kept_sha256", *["kept"] * with_text)
 
 
 def longer_repeats(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """(length, did, tk, s): every later occurrence of a repeated window of length window, 2 x window,
-    4 x window, ..., level by level until no candidate survives.
+    """(length, did, tk, s0, s1): the runs of starts of later occurrences of repeated windows of
+    length window, 2 x window, 4 x window, ..., level by level until no candidate survives.
 
-    A window of twice the length is a candidate only where both its halves are later occurrences."""
-    keyed = docs.select(*C.doc_key(), "text")
-    runs = later_runs(keyed, window)
-    level = C.staged(runs.select("did", "tk", F.explode(F.sequence("s0", "s1")).alias("s")).distinct(), "level")
+    Only documents that hold a repeat of one length are looked at for twice the length; the first
+    occurrence of a longer window may lie in a document without a later one, so such documents
+    stay if the gram of a survivor occurs in them."""
+    keyed = C.with_key(docs.select("doc_id", "text")).select("did", "tk", "text")
     out, length = None, window
-    while not level.isEmpty():
-        found = level.select(F.lit(length).alias("length"), "did", "tk", "s")
-        out = found if out is None else out.unionByName(found)
-        half = level.select("did", "tk", (F.col("s") - length).cast("int").alias("s"))
-        both = level.join(half, ["did", "tk", "s"], "left_semi")
-        # the first occurrence of a longer window is not "later" anywhere, so it joins by its hash
+    while True:
+        runs = C.staged(later_runs(keyed, length).select(F.lit(length).alias("length"), "did", "tk", "s0", "s1"), "level")
+        out = runs if out is None else out.unionByName(runs)
+        if runs.isEmpty():
+            return out
+        # a document can hold a longer repeat only if it holds one of this length, first or later
+        grams = R.anchors(keyed, "word", max(1, length // 4), length)
+        again = grams.groupBy("h").agg(F.count("*").alias("n")).where("n > 1").select("h")
+        alive = C.staged(grams.join(again, "h", "left_semi").select("did", "tk").distinct(), "alive")
+        keyed = C.staged(keyed.join(alive, ["did", "tk"], "left_semi"), "texts")
         length *= 2
-        cand = both.select("did", "tk", F.col("s").alias("s0"), F.col("s").alias("s1"))
-        first = _first_occurrences(keyed, cand, length)
-        level = C.staged(first, "level")
-    return out if out is not None else level.select(F.lit(window).alias("length"), "did", "tk", "s")
-
-
-def _first_occurrences(keyed: DataFrame, cand: DataFrame, length: int) -> DataFrame:
-    whole = R.anchors(keyed, "word", length // 2, length)
-    runs = whole.select("did", "tk", "s0", "s1")
-    rows = R.windows(keyed, runs, "word", length)
-    spot = F.struct("did", "tk", "s")
-    seen = rows.join(R.windows(keyed, cand, "word", length).select("w").distinct(), "w", "left_semi")
-    first = seen.groupBy("w").agg(F.min(spot).alias("first"))
-    return (seen.join(first, "w").where(spot > F.col("first")).select("did", "tk", "s").distinct())
