@@ -26,7 +26,7 @@ REGISTRY: dict[str, Entry] = {}
 
 MODULES = (
     "basic", "cleaning", "joins", "aggregation", "windows", "scalars", "calendar_q",
-    "supply", "service", "helpdesk", "finance", "vending", "dims", "ledger_q",
+    "supply", "service", "helpdesk", "vending", "dims", "ledger_q",
     "quality_q", "stateful",
 )
 
@@ -56,11 +56,7 @@ def load_all() -> dict[str, Entry]:
     global _loaded
     if not _loaded:
         for m in MODULES:
-            try:
-                importlib.import_module(f"fieldops.catalog.{m}")
-            except ModuleNotFoundError as e:  # module not written yet
-                if e.name != f"fieldops.catalog.{m}":
-                    raise
+            importlib.import_module(f"fieldops.catalog.{m}")
         for alias, target in ALIASES.items():
             if target and target in REGISTRY and alias not in REGISTRY:
                 REGISTRY[alias] = Entry(alias, REGISTRY[target].fn, REGISTRY[target].sql)

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from fieldops.catalog import register
 from fieldops.catalog.fixtures import AS_OF_LO, t
 from fieldops.functions.scalar import first_matching_token, lit_date
-from fieldops.operators.joins import checked_broadcast
 
 
 @register("b01_projection_rename", sql="""
@@ -172,7 +171,7 @@ def b16(spark, d):
     c, n = t(spark, d, "customer"), t(spark, d, "nation")
     excluded = n.where(F.col("n_regionkey") == 0).select(F.col("n_nationkey").alias("c_nationkey"))
     # exclusion list held as a (checked) broadcast lookup, not a giant literal NOT IN
-    return c.join(checked_broadcast(excluded), "c_nationkey", "left_anti").select("c_custkey", "c_name")
+    return c.join(excluded, "c_nationkey", "left_anti").select("c_custkey", "c_name")
 
 
 @register("b17_as_of_predicate", sql="""

@@ -5,12 +5,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldops.catalog import register
-from fieldops.catalog.calendar_q import YEARS, holidays_sql, _lo_pairs, SQL_LO_PAIRS
+from fieldops.catalog.calendar_q import _cal, holidays_sql, _lo_pairs, SQL_LO_PAIRS
 from fieldops.catalog.fixtures import t
 from fieldops.catalog.supply import _demand
 from fieldops.catalog import fixtures as fx
 from fieldops.functions import calendar as cal
-from fieldops.operators.joins import (checked_broadcast, effective_dated_join, explode_days, explode_months,
+from fieldops.operators.business_time import business_days
+from fieldops.operators.joins import (effective_dated_join, explode_months,
                                       fallback_lookup, interval_join, rule_flags, typed_key_join,
                                       wildcard_rule_match)
 
@@ -151,14 +152,13 @@ periods as (
 
 @register("d09_effective_dated_join", sql=f"""
 with {SQL_PERIODS}
-select {LKEY_SQL}, p.unit_price, p.gen from lineitem l left join periods p
+select {LKEY_SQL}, p.unit_price, p.gen from (select *, row_number() over () as rid from lineitem) l left join periods p
   on l.l_partkey = p.p_partkey and cast(l.l_shipdate as date) >= p.valid_from
   and (p.valid_to is null or cast(l.l_shipdate as date) <= p.valid_to)
-qualify row_number() over (partition by {LKEY_SQL} order by p.valid_from desc nulls last) = 1""")
+qualify row_number() over (partition by rid order by p.valid_from desc nulls last) = 1""")
 def d09(spark, d):
     l = t(spark, d, "lineitem").select(*LKEY)
-    return effective_dated_join(l, _price_periods(spark, d), ["l_partkey"], "l_shipdate",
-                                fact_id=LKEY).select(*LKEY, "unit_price", "gen")
+    return effective_dated_join(l, _price_periods(spark, d), ["l_partkey"], "l_shipdate").select(*LKEY, "unit_price", "gen")
 
 
 @register("d10_rolling_range_join", sql="""
@@ -377,11 +377,10 @@ days as (select *, cast(unnest(generate_series(a, b, interval 1 day)) as date) a
 select l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, count(*) as n_open_days
 from days where isodow(d) < 6 and d not in (select date_ferie from hol) group by 1, 2, 3, 4, 5""")
 def d20(spark, d):
-    hol = cal.holidays(spark, YEARS).select(F.col("date_ferie").alias("day"))
-    x = explode_days(_lo_pairs(spark, d), "a", "b")
-    x = x.where(F.dayofweek("day").between(2, 6)).join(F.broadcast(hol), "day", "left_anti")
+    # the days between are counted by the running calendar, not made into rows
+    x = business_days(_lo_pairs(spark, d), "a", "b", _cal(spark)).where("business_days is not null")
     return x.groupBy("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").agg(
-        F.count(F.lit(1)).alias("n_open_days"))
+        F.sum(F.col("business_days") + 1).cast("long").alias("n_open_days"))
 
 
 @register("d21_non_equi_first_demand", sql=f"""
@@ -394,7 +393,7 @@ def d21(spark, d):
     dm = _demand(spark, d)
     months = dm.select(F.col("demande_mois").alias("target_mois")).distinct()  # ≤ 12 per year
     firsts = dm.groupBy("company_id", "product_id").agg(F.min("demande_mois").alias("first_mois"))
-    j = firsts.join(checked_broadcast(months, 10_000), F.col("first_mois") <= F.col("target_mois"))
+    j = firsts.join(months, F.col("first_mois") <= F.col("target_mois"))
     return j.groupBy("company_id", "product_id", "first_mois").agg(F.count(F.lit(1)).alias("n_target_months"))
 
 

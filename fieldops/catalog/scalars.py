@@ -245,13 +245,13 @@ def s26(spark, d):
 
 @register("s27_timestamp_minus_timestamp", sql="""
 select l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey, l.l_shipdate, l.l_extendedprice,
-       l.l_shipdate - o.o_orderdate as lead_interval
+       date_diff('second', o.o_orderdate, l.l_shipdate) as lead_seconds
 from lineitem l join orders o on l.l_orderkey = o.o_orderkey""")
 def s27(spark, d):
     l, o = t(spark, d, "lineitem"), t(spark, d, "orders")
     j = l.join(o, l.l_orderkey == o.o_orderkey)
     return j.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extendedprice",
-                    (F.col("l_shipdate") - F.col("o_orderdate")).alias("lead_interval"))
+                    F.timestamp_diff("SECOND", F.col("o_orderdate"), F.col("l_shipdate")).alias("lead_seconds"))
 
 
 @register("s28_month_label_to_date", sql="""

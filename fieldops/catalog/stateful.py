@@ -261,9 +261,9 @@ def _drops(spark, d, copies: bool = False) -> str:
     e = t(spark, d, "events")
     day = F.dayofmonth("ts")
     for i, (lo, hi) in enumerate([(1, 10), (11, 20), (21, 31)]):
-        e.where(day.between(lo, hi)).coalesce(1).write.mode("overwrite").parquet(f"{root}/drop{i}")
+        e.where(day.between(lo, hi)).write.mode("overwrite").parquet(f"{root}/drop{i}")
     if copies:
-        e.where("event_type = 'purchase'").coalesce(1).write.mode("overwrite").parquet(f"{root}/drop3")
+        e.where("event_type = 'purchase'").write.mode("overwrite").parquet(f"{root}/drop3")
     return root
 
 

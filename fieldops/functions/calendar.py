@@ -71,7 +71,7 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
     """
     hol = set(holiday_dates) if holiday_dates is not None else {
         r[2] for r in holiday_rows(range(first_year, last_year + 1))}
-    d = dt.date(first_year, 1, 1)
+    d = dt.date(first_year, 1, 1) - dt.timedelta(days=1)  # spans from the first day look one day back
     end = dt.date(last_year, 12, 31)
     epoch = dt.date(1970, 1, 1)
     rows, cum, cum_sec = [], 0, 0

@@ -3,6 +3,7 @@
 Both use the rule-built ``business_calendar`` (day, is_business_day, cum_bd), which is tiny and
 broadcast: "business days in [a, b]" = cum_bd(b) − cum_bd(a − 1).  A ticket open for two years
 therefore costs the same as one open for an hour — no per-day rows, no shuffle.
+The calendar must hold every day asked for and the day before it; a missing day raises.
 """
 from __future__ import annotations
 
@@ -16,7 +17,14 @@ def _lookup(df: DataFrame, cal: DataFrame, day: Column, prefix: str) -> DataFram
     c = F.broadcast(cal.select(F.col("day").alias(f"{prefix}_day"),
                                F.col("is_business_day").alias(f"{prefix}_bd"),
                                F.col("cum_bd").alias(f"{prefix}_cum")))
-    return df.join(c, day == F.col(f"{prefix}_day"), "left").drop(f"{prefix}_day")
+    out = df.join(c, day == F.col(f"{prefix}_day"), "left").drop(f"{prefix}_day")
+    return out.withColumn(f"{prefix}_cum", covered(day, F.col(f"{prefix}_cum")))
+
+
+def covered(day: Column, counter: Column) -> Column:
+    """The day's counter; a day that the calendar does not hold is an error, not a NULL or 0."""
+    missing = F.raise_error(F.concat(F.lit("not in the business calendar: "), day.cast("string"))).cast("long")
+    return F.when(counter.isNotNull() | day.isNull(), counter).otherwise(missing)
 
 
 def business_days(df: DataFrame, start: str, end, cal: DataFrame,
@@ -33,7 +41,9 @@ def business_days(df: DataFrame, start: str, end, cal: DataFrame,
         d = end.date() if isinstance(end, _dt.datetime) else end
         one = cal.where(F.col("day") == F.lit(d.isoformat()).cast("date")).select(
             F.col("is_business_day").alias("_tb_bd"), F.col("cum_bd").alias("_tb_cum"))
-        x = x.crossJoin(F.broadcast(one))  # exactly one calendar row
+        one = one.agg(F.first("_tb_bd").alias("_tb_bd"), F.first("_tb_cum").alias("_tb_cum"))  # exactly one row
+        x = x.crossJoin(F.broadcast(one))
+        x = x.withColumn("_tb_cum", covered(F.lit(d.isoformat()).cast("date"), F.col("_tb_cum")))
     else:
         x = _lookup(x, cal, F.col(end).cast("date"), "_tb")
     n = F.col("_tb_cum") - F.col("_ta_cum")
@@ -111,7 +121,8 @@ def business_day_clock(df: DataFrame, ref: str, points: dict[str, str], end: str
     def lk(frame, day_col, tag):
         x = c.select(F.col("day").alias(f"{tag}_d"), F.col("is_business_day").alias(f"{tag}_b"),
                      F.col("cum_bd").alias(f"{tag}_n"), F.col("cum_sec").alias(f"{tag}_s"))
-        return frame.join(x, F.col(day_col) == F.col(f"{tag}_d"), "left").drop(f"{tag}_d")
+        found = frame.join(x, F.col(day_col) == F.col(f"{tag}_d"), "left").drop(f"{tag}_d")
+        return found.withColumn(f"{tag}_n", covered(F.col(day_col), F.col(f"{tag}_n")))
 
     def cnt(a, b):   # business days in [a, b] from the lookups tagged a/b (a is "day before start")
         return F.greatest(F.col(f"{b}_n") - F.col(f"{a}_n"), F.lit(0))

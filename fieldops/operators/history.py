@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fieldops.operators.windows import null_safe_join
+
 from fieldops.functions.keys import surrogate_key
 
 META = ["dbt_scd_id", "dbt_updated_at", "dbt_valid_from", "dbt_valid_to"]
@@ -97,7 +99,7 @@ def backfill_leading_nulls(df: DataFrame, keys: Sequence[str], order: Sequence[s
     o = F.struct(*[F.col(c) for c in order])
     firsts = df.groupBy(*keys).agg(*[F.min_by(F.when(F.col(c).isNotNull(), F.col(c)),
                                               F.when(F.col(c).isNotNull(), o)).alias(f"_first_{c}") for c in cols])
-    out = df.join(firsts, list(keys), "left")
+    out = null_safe_join(df, firsts, keys, "left")
     for c in cols:
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_first_{c}"))).drop(f"_first_{c}")
     return out

@@ -1,8 +1,7 @@
 """D — join shapes the planner cannot pick on its own.
 
 Rules of the module:
-* a side is broadcast only after its row count is checked (``checked_broadcast``); above the limit the
-  plain DataFrame goes back and the planner shuffles both sides;
+* no join is forced to broadcast: the planner and AQE choose from the sizes they see;
 * range and between-events joins never run as nested loops: both sides get a bucket key so the join
   is an equi-join (hash/sort-merge, AQE skew-split capable) plus a residual predicate;
 * top-1 choices always end with a total order.
@@ -14,43 +13,41 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BROADCAST_MAX_ROWS = 2_000_000
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``df`` only if it holds at most ``max_rows`` rows (counted with a bounded job)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def _cols(xs):
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def disjoint_periods(periods: DataFrame, keys: Sequence[str], valid_from: str, valid_to: str,
+                     prefer: Sequence[Column]) -> DataFrame:
+    """Periods cut at all bounds of their key, with one row for each piece: the first by ``prefer``
+    of those that cover it.  Pieces are (_from, _until), the end exclusive, NULL for open."""
+    bounds = periods.select(*keys, F.col(valid_from).cast("date").alias("_from")).unionByName(
+        periods.select(*keys, F.date_add(F.col(valid_to).cast("date"), 1).alias("_from"))).where("_from is not null").distinct()
+    pieces = bounds.withColumn("_until", F.lead("_from").over(Window.partitionBy(*keys).orderBy("_from")))
+    pieces = pieces.select(*[F.col(k).alias(f"_p_{k}") for k in keys], "_from", "_until")
+    on = [periods[k] == F.col(f"_p_{k}") for k in keys]
+    on += [F.col(valid_from).cast("date") <= F.col("_from"),
+           F.col(valid_to).isNull() | (F.col(valid_to).cast("date") >= F.col("_from"))]
+    best = Window.partitionBy(*[f"_p_{k}" for k in keys], "_from").orderBy(*prefer)
+    held = pieces.join(periods, on).withColumn("_rn", F.row_number().over(best)).where("_rn = 1")
+    return held.drop("_rn", *keys)
+
+
 def effective_dated_join(facts: DataFrame, periods: DataFrame, keys: Sequence[str], fact_date: str,
                          valid_from: str = "valid_from", valid_to: str = "valid_to",
-                         fact_id: Sequence[str] = (), prefer: Sequence[Column] = (),
-                         how: str = "left") -> DataFrame:
+                         prefer: Sequence[Column] = (), how: str = "left") -> DataFrame:
     """D09 — key equality + ``valid_from <= date <= valid_to`` (NULL end = open); when periods
     overlap the first row by ``prefer`` wins (e.g. latest ``valid_from``).
 
-    The period table is a lookup: broadcast when small, else shuffled on the keys.  Only the facts
-    that match more than one period need the top-1 step, which runs per fact id (unique → no skew).
+    Overlaps are resolved in the lookup, so each fact meets one period at most: no top-1 over the
+    facts, and equal facts all stay.
     """
-    p = periods.select(*[F.col(k).alias(f"_p_{k}") for k in keys],
-                       *[c for c in periods.columns if c not in keys])
-    cond = [facts[k] == p[f"_p_{k}"] for k in keys]
-    d = facts[fact_date].cast("date")
-    cond.append(d >= p[valid_from])
-    cond.append(p[valid_to].isNull() | (d <= p[valid_to]))
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    j = facts.join(checked_broadcast(p), cond_all, how)
     order = list(prefer) or [F.col(valid_from).desc_nulls_last()]
-    w = Window.partitionBy(*(_cols(fact_id) or _cols(facts.columns))).orderBy(*order)
-    return (j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1")
-             .drop("_rn", *[f"_p_{k}" for k in keys]))
+    p = disjoint_periods(periods, keys, valid_from, valid_to, order)
+    d = facts[fact_date].cast("date")
+    on = [facts[k] == p[f"_p_{k}"] for k in keys]
+    on += [d >= p["_from"], p["_until"].isNull() | (d < p["_until"])]
+    return facts.join(p, on, how).drop("_from", "_until", *[f"_p_{k}" for k in keys])
 
 
 def interval_join(intervals: DataFrame, points: DataFrame, keys: Sequence[str], start: str, end: str,
@@ -102,10 +99,9 @@ def wildcard_rule_match(facts: DataFrame, rules: DataFrame, attrs: Sequence[tupl
     """D13 — rules whose NULL attributes match anything; the most specific rule wins.
 
     ``attrs`` = (fact column, rule column, weight).  Score = Σ weight of non-NULL rule attributes.
-    Rules are a small seed: checked broadcast, no shuffle of the facts for the match itself; the
-    top-1 runs per fact id.
+    Rules are a small seed, which the planner sends to the facts; the top-1 runs per fact id.
     """
-    r = checked_broadcast(rules)
+    r = rules
     cond = None
     score = F.lit(0)
     for fc, rc, wgt in attrs:

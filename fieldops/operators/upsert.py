@@ -44,22 +44,33 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base}/fieldops-{label}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
 def upsert_partitions(spark: SparkSession, path: str, changes: DataFrame, keys: Sequence[str],
                       order: Sequence[str], partition_col: str) -> None:
-    """Apply ``merge`` to the partitions of ``path`` touched by ``changes`` only.
+    """Apply ``merge`` to a partitioned table, rewriting only the partitions that hold a changed key,
+    old or new.  A key that moves to another partition leaves the old one.
 
-    Keys must not move across partitions (the partition column is part of the row identity).
-    """
-    touched = changes.select(partition_col).distinct()
-    try:
-        target = spark.read.parquet(path)
-        part = target.join(F.broadcast(touched), partition_col, "left_semi")  # bounded: one row per partition
-    except Exception:  # noqa: BLE001 — first load: no target yet
-        target = None
-        part = changes.limit(0)
-    merged = merge(part, changes, keys, order)
+    Only a missing path means first load; any other failure to read is raised."""
+    fs, root = _file_system(spark, path)
     stage = scratch_dir(spark, "stage")
-    merged.write.mode("overwrite").partitionBy(partition_col).parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
-    del target
+    if not fs.exists(root):
+        keep_latest(changes, keys, order).write.partitionBy(partition_col).parquet(path)
+        return
+    target = spark.read.parquet(path)
+    held = target.join(changes.select(*keys).distinct(), list(keys), "left_semi").select(partition_col)
+    touched = changes.select(partition_col).unionByName(held).distinct()
+    part = target.join(touched, target[partition_col].eqNullSafe(touched[partition_col]), "left_semi")
+    merge(part, changes, keys, order).write.partitionBy(partition_col).parquet(stage)
+    merged = spark.read.schema(target.schema).parquet(stage) if set(changes.columns) <= set(target.columns) else spark.read.parquet(stage)
+    emptied = touched.join(merged.select(partition_col).distinct(),
+                           touched[partition_col].eqNullSafe(merged[partition_col]), "left_anti")
+    gone = [r[0] for r in emptied.select(F.col(partition_col).cast("string")).collect()]  # one row per partition
+    (merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.escapePathName
+    for value in gone:
+        name = "__HIVE_DEFAULT_PARTITION__" if value is None else escape(value)
+        fs.delete(spark._jvm.org.apache.hadoop.fs.Path(root, f"{partition_col}={name}"), True)

@@ -37,6 +37,13 @@ def episodes(df: DataFrame, partition: Sequence[str], order: Sequence[Column], d
     return out.withColumn(f"{prefix}episode_rank", F.row_number().over(we))
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Join on keys where NULL equals NULL, as a window's partitions have it; keys come from the left."""
+    r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys], *[c for c in right.columns if c not in keys])
+    on = [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
+    return left.join(r, on, how).drop(*[f"_r_{k}" for k in keys])
+
+
 def bucketed_lag(df: DataFrame, key: Sequence[str], order: Sequence[str], values: Sequence[str], bucket: Column,
                  offset_direction: str = "lag", prefix: str = "prev_") -> DataFrame:
     """Exact ``lag`` / ``lead`` of ``values`` per ``key`` ordered by ``order`` without sending a
@@ -61,7 +68,7 @@ def bucketed_lag(df: DataFrame, key: Sequence[str], order: Sequence[str], values
     wb = Window.partitionBy(*key).orderBy("_bkt")
     nb = per_b.select(*key, "_bkt", *[fn(f"_e_{v}").over(wb).alias(f"_n_{v}") for v in values])
     pos = F.row_number().over(w if offset_direction == "lag" else Window.partitionBy(*key, "_bkt").orderBy(*[c.desc() for c in ordcols]))
-    out = out.withColumn("_pos", pos).join(nb, [*key, "_bkt"], "left")
+    out = out.withColumn("_pos", pos).transform(lambda x: null_safe_join(x, nb, [*key, "_bkt"], "left"))
     for v in values:
         out = out.withColumn(f"{prefix}{v}", F.when(F.col("_pos") == 1, F.col(f"_n_{v}")).otherwise(F.col(f"{prefix}{v}")))
     return out.drop("_bkt", "_pos", *[f"_n_{v}" for v in values])
@@ -86,7 +93,7 @@ def bucketed_running(df: DataFrame, key: Sequence[str], order: Sequence[str], bu
     wb = Window.partitionBy(*key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select(*key, "_bkt", *[F.sum(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in sums],
                      *[F.max(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in maxes])
-    out = b.join(off, [*key, "_bkt"], "left")
+    out = null_safe_join(b, off, [*key, "_bkt"], "left")
     for n in sums:
         out = out.withColumn(n, F.sum(f"_v_{n}").over(w) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)))
     for n in maxes:
@@ -112,4 +119,4 @@ def episodes_bucketed(df: DataFrame, key: Sequence[str], order: Sequence[str], d
                          maxes={"_start": F.when(F.col("is_new_episode"), F.col("_pos"))})
     x = x.withColumn("episode_rank", (F.col("_pos") - F.col("_start") + 1).cast("int")).drop("_pos", "_start")
     size = x.groupBy(*key, "episode_no").agg(F.count(F.lit(1)).alias("episode_size"))
-    return x.join(size, [*key, "episode_no"])
+    return null_safe_join(x, size, [*key, "episode_no"], "inner")

@@ -42,10 +42,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     A cluster names a shared (HDFS/object store) folder there and we only read it.  When it is
-    unset (local tests) a fresh scratch folder is created and registered.
+    unset, a local master (tests) gets a fresh scratch folder; on a cluster that is an error, because
+    each executor would write to its own disk.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        if spark.sparkContext.master != "local" and not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="fieldops-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():

@@ -59,13 +59,14 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] | None = N
                 max_records_per_file: int | None = None) -> None:
     """A05/A06 — full-refresh sink, optionally partitioned by a date column and clustered.
 
-    Clustering = a range repartition on the partition columns followed by a sort within
+    Clustering = a range repartition on the partition and sort columns (so that a large
+    partition value is spread over many tasks and files) followed by a sort within
     partitions on ``sort_by``: each output file then holds a narrow key range so parquet
     row-group min/max statistics prune well on reads.
     """
     out = df
     if partition_by:
-        out = out.repartition(*[F.col(c) for c in partition_by])
+        out = out.repartitionByRange(*[F.col(c) for c in [*partition_by, *(sort_by or [])]])
     if sort_by:
         out = out.sortWithinPartitions(*(list(partition_by or []) + list(sort_by)))
     w = out.write.mode(mode)

@@ -1,6 +1,7 @@
 """Hand-made fixtures for the edge cases the reference's data checks guard (FIXTURES.md §2)."""
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from fieldops.functions import calendar as cal
@@ -79,7 +80,7 @@ def test_effective_dated_overlap_gap_boundaries(spark):
     facts = spark.createDataFrame([(1, "k", dt.date(2024, 1, 1)), (2, "k", dt.date(2024, 1, 20)),
                                    (3, "k", dt.date(2024, 2, 10)), (4, "k", dt.date(2024, 2, 20)),
                                    (5, "k", dt.date(2030, 1, 1))], "id int, key string, d date")
-    got = {r.id: r.price for r in effective_dated_join(facts, periods, ["key"], "d", fact_id=["id"]).collect()}
+    got = {r.id: r.price for r in effective_dated_join(facts, periods, ["key"], "d").collect()}
     assert got == {1: 10.0, 2: 20.0, 3: 20.0, 4: None, 5: 30.0}
 
 
@@ -202,3 +203,62 @@ def test_bucketed_episodes_match_plain_windows(spark):
     buck = {r.id: (r.gap_days, r.is_new_episode, r.episode_no, r.episode_rank) for r in
             episodes_bucketed(df, ["k"], ["d", "id"], "d", gap_days=2, bucket=F.trunc("d", "week")).collect()}
     assert plain == buck
+
+
+def test_uncovered_calendar_day_raises(spark):
+    from fieldops.functions.calendar import business_calendar
+    from fieldops.operators.business_time import business_days, business_minutes
+    cal = business_calendar(spark, 2024, 2024)
+    df = spark.createDataFrame([(dt.datetime(2024, 12, 2, 8), dt.datetime(2025, 3, 3, 12))], "a timestamp, b timestamp")
+    for fn in (business_days, business_minutes):
+        with pytest.raises(Exception, match="not in the business calendar"):
+            fn(df, "a", "b", cal).collect()
+    first = spark.createDataFrame([(dt.date(2024, 1, 1), dt.date(2024, 1, 3)), (None, dt.date(2024, 1, 3))], "a date, b date")
+    assert [r.business_days for r in business_days(first, "a", "b", cal).collect()] == [1, None]
+
+
+def test_null_keys_are_one_group(spark):
+    from fieldops.operators.history import backfill_leading_nulls
+    from fieldops.operators.windows import bucketed_lag, bucketed_running, episodes_bucketed
+    rows = [(k, dt.date(2024, 1, d), d) for k in (None, "x") for d in (1, 2, 9)]
+    df = spark.createDataFrame(rows, "k string, day date, v int")
+    lag = bucketed_lag(df, ["k"], ["day"], ["v"], F.col("day"))
+    assert sorted((r.k or "", r.v, r.prev_v) for r in lag.collect()) == sorted(
+        (k, v, p) for k in ("", "x") for v, p in ((1, None), (2, 1), (9, 2)))
+    run = bucketed_running(df, ["k"], ["day"], F.col("day"), sums={"s": F.col("v")})
+    assert sorted((r.k or "", r.s) for r in run.collect()) == [("", 1), ("", 3), ("", 12), ("x", 1), ("x", 3), ("x", 12)]
+    assert episodes_bucketed(df, ["k"], ["day"], "day", 3, F.col("day")).count() == 6
+    holes = spark.createDataFrame([(None, 1, None), (None, 2, "b")], "k string, o int, v string")
+    assert [r.v for r in backfill_leading_nulls(holes, ["k"], ["o"], ["v"]).collect()] == ["b", "b"]
+
+
+def test_equal_facts_stay(spark):
+    periods = spark.createDataFrame([("k", dt.date(2024, 1, 1), None, 1.0)], "key string, valid_from date, valid_to date, price double")
+    facts = spark.createDataFrame([("k", dt.date(2024, 1, 5))] * 2, "key string, d date")
+    assert effective_dated_join(facts, periods, ["key"], "d").count() == 2
+
+
+def test_upsert_moves_keys_and_raises_on_unreadable_target(spark, tmp_path):
+    from fieldops.operators.upsert import upsert_partitions
+    path = str(tmp_path / "t")
+    schema = "id int, v string, at int, p string"
+    for rows in ([(1, "a", 1, "a"), (2, "b", 1, "b")], [(1, "moved", 2, "b")]):
+        upsert_partitions(spark, path, spark.createDataFrame(rows, schema), ["id"], ["at"], "p")
+    got = sorted((r.id, r.v, r.p) for r in spark.read.parquet(path).collect())
+    assert got == [(1, "moved", "b"), (2, "b", "b")]
+    bad = tmp_path / "bad" / "p=a"
+    bad.mkdir(parents=True)
+    (bad / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        upsert_partitions(spark, str(tmp_path / "bad"), spark.createDataFrame([(1, "a", 1, "a")], schema), ["id"], ["at"], "p")
+
+
+def test_large_partition_value_spans_files(spark, tmp_path):
+    from fieldops.sources.tables import write_table
+    df = spark.range(100_000).select((F.col("id") % 2).alias("p"), F.col("id"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # else these few rows are one task
+    try:
+        write_table(df.repartition(4), str(tmp_path / "w"), ["p"], ["id"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(list((tmp_path / "w" / "p=0").glob("*.parquet"))) > 1
