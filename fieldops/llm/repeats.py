@@ -217,8 +217,8 @@ def repeated_starts(docs: DataFrame, reps: DataFrame, unit: str, window: int, ke
     sure = found.where("w is null").drop("w")
     open_ = found.where("w is not null")
     spot = F.struct("did", "tk", "s0")
-    twice = (open_.groupBy("w").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
-             .where("first != last").select("w", "first"))
+    twice = C.staged(open_.groupBy("w").agg(F.min(spot).alias("first"), F.max(spot).alias("last"))
+                     .where("first != last").select("w", "first"), "twice")
     part = open_.join(twice, "w")
     if keep_first:
         part = part.where(spot > F.col("first"))

@@ -31,13 +31,14 @@ def later_runs(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs (did, tk, s0, s1) of starts of windows of keyed (did, tk, text) whose word sequence also
     starts earlier."""
     level1 = R.anchors(keyed, "word", max(1, window // 4), window)
-    again = level1.select("h").groupBy("h").count().where("count > 1").select("h")
+    # written first: a side that is still to be aggregated would keep a hot gram's rows in one task
+    again = C.staged(level1.select("h").groupBy("h").count().where("count > 1").select("h"), "grams")
     hits = C.staged(level1.join(again, "h", "left_semi"), "hits")
     here = F.struct("did", "tk", "s0", "s1")
     classes = C.staged(hits.groupBy("h", "c").agg(F.min(here).alias("rep"), F.max(here).alias("last")), "classes")
     many = classes.where("rep != last").select("h", "c", "rep")
     whole = hits.join(many, ["h", "c"]).where(here > F.col("rep")).select("did", "tk", "s0", "s1")
-    split = classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1")
+    split = C.staged(classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "split")
     reps = classes.join(split, "h").select("h", "k", "rep.*")
     return whole.unionByName(R.repeated_starts(keyed, reps, "word", window, keep_first=True))
 

@@ -100,8 +100,9 @@ class SuffixIndex:
         """Runs (did, tk, s0, s1) of starts of strings of min_bytes that start elsewhere too."""
         entries = self.found.groupBy("h", "c").agg(F.min("a0").alias("a0"), F.max(F.coalesce("a1", "a0")).alias("a1"))
         entries = C.staged(entries, "entries")
-        count = entries.groupBy("h").agg(F.count("*").alias("k"))
-        wanted = entries.join(count, "h").where("a0 != a1 or k > 1")
+        # written before they are joined: else a hot prefix's rows would be kept in one task
+        count = C.staged(entries.groupBy("h").agg(F.count("*").alias("k")), "prefixes")
+        wanted = C.staged(entries.join(count, "h").where("a0 != a1 or k > 1"), "wanted")
         marks = C.staged(self.anchors.join(wanted, ["h", "c"]), "marks")
         whole = marks.where("a0 != a1").select("did", "tk", "s0", "s1")
         reps = marks.where((F.col("k") > 1) & (_anchor_id() == F.col("a0"))).select("h", "k", "did", "tk", "s0", "s1")
