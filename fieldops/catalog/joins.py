@@ -393,7 +393,7 @@ def d21(spark, d):
     dm = _demand(spark, d)
     months = dm.select(F.col("demande_mois").alias("target_mois")).distinct()  # ≤ 12 per year
     firsts = dm.groupBy("company_id", "product_id").agg(F.min("demande_mois").alias("first_mois"))
-    j = firsts.join(months, F.col("first_mois") <= F.col("target_mois"))
+    j = firsts.join(F.broadcast(months), F.col("first_mois") <= F.col("target_mois"))
     return j.groupBy("company_id", "product_id", "first_mois").agg(F.count(F.lit(1)).alias("n_target_months"))
 
 
