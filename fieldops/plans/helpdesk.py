@@ -1,7 +1,7 @@
 """K38–K41 — help-desk: status events from a change log, lifecycle segments, SLA clocks, ticket 360."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldops.operators.business_time import business_minutes
@@ -12,7 +12,7 @@ TZ = "Europe/Paris"
 def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
     """K38 — one row per status change: new = coalesce(updated, value); creation when only a value.
 
-    history: ticket_id, event_at, event_name, actor_id, actor_name, actor_type,
+    history: event_id, ticket_id, event_at, event_name, actor_id, actor_name, actor_type,
              property_value, property_value__previous_value, property_value__updated_value
     mapping: status, status_type, is_on_hold, is_closed   (small seed: broadcast twice)
     """
@@ -23,7 +23,7 @@ def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
                                          F.col("is_on_hold").alias("new_is_on_hold"),
                                          F.col("is_closed").alias("new_is_closed")))
     e = history.select(
-        "ticket_id", "event_at",
+        "event_id", "ticket_id", "event_at",
         F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("event_date_paris"),
         "event_name", "actor_id", "actor_name", "actor_type",
         F.col("property_value__previous_value").alias("prev_status"),
@@ -36,15 +36,21 @@ def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
 
 def lifecycle_segments(events: DataFrame, cal: DataFrame) -> DataFrame:
     """K39 — status intervals per ticket (lead → end; the open last segment has NULL durations),
-    with calendar minutes and business minutes (Mon–Fri 09:00–17:30 Paris, holidays excluded)."""
+    with calendar minutes and business minutes (Mon–Fri 09:00–17:30 Paris, holidays excluded).
+
+    Events of one instant follow their id.  Order and successor are found per ticket and month, so a
+    ticket with very many events is split."""
+    from fieldops.operators.windows import bucketed_lag, bucketed_running
     ev = events.where(F.col("event_name").isin("TicketCreated", "TicketUpdated"))
-    w = Window.partitionBy("ticket_id").orderBy("event_at")
-    s = ev.select("ticket_id", F.row_number().over(w).alias("segment_idx"),
-                  F.col("event_at").alias("segment_start_at"),
-                  F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("segment_start_date_paris"),
-                  F.lead("event_at").over(w).alias("segment_end_at"),
-                  F.col("new_status").alias("status"), F.col("new_status_type").alias("status_type"),
-                  F.col("new_is_on_hold").alias("is_on_hold"), F.col("new_is_closed").alias("is_closed"))
+    order, month = ["event_at", "event_id"], F.trunc(F.col("event_at").cast("date"), "MM")
+    x = bucketed_lag(ev, ["ticket_id"], order, ["event_at"], month, offset_direction="lead", prefix="next_")
+    x = bucketed_running(x, ["ticket_id"], order, month, sums={"segment_idx": F.lit(1)})
+    s = x.select("ticket_id", F.col("segment_idx").cast("int").alias("segment_idx"),
+                 F.col("event_at").alias("segment_start_at"),
+                 F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("segment_start_date_paris"),
+                 F.col("next_event_at").alias("segment_end_at"),
+                 F.col("new_status").alias("status"), F.col("new_status_type").alias("status_type"),
+                 F.col("new_is_on_hold").alias("is_on_hold"), F.col("new_is_closed").alias("is_closed"))
     s = business_minutes(s, "segment_start_at", "segment_end_at", cal, out="_bm")
     open_seg = F.col("segment_end_at").isNull()
     return (s.withColumn("duration_minutes_calendar",
@@ -102,17 +108,16 @@ def ticket_sla(tickets: DataFrame, threads: DataFrame, events: DataFrame, segmen
 def ticket_360(tickets: DataFrame, contacts: DataFrame, accounts: DataFrame, departments: DataFrame,
                agents: DataFrame, metrics: DataFrame) -> DataFrame:
     """K41 — ticket with its contact, account (direct, else through the contact), department,
-    assignee and metrics: left joins of dimensions onto the ticket fact (dimensions broadcast-sized,
-    the metrics table joins on the ticket key)."""
+    assignee and metrics: left joins of dimensions onto the ticket fact; the planner chooses by size."""
     c = contacts.select("contact_id", F.col("account_id").alias("_c_account"), "first_name", "email")
     a1 = accounts.select(F.col("account_id").alias("_a1"), F.col("account_name").alias("_n1"))
     a2 = accounts.select(F.col("account_id").alias("_a2"), F.col("account_name").alias("_n2"))
     d = departments.select("department_id", F.col("name").alias("department_name"))
     ag = agents.select(F.col("agent_id").alias("assignee_id"), F.col("name").alias("assignee_name"))
     j = (tickets.join(metrics, "ticket_id", "left").join(c, "contact_id", "left")
-         .join(F.broadcast(a1), F.col("account_id") == F.col("_a1"), "left")
-         .join(F.broadcast(a2), F.col("_c_account") == F.col("_a2"), "left")
-         .join(F.broadcast(d), "department_id", "left").join(F.broadcast(ag), "assignee_id", "left"))
+         .join(a1, F.col("account_id") == F.col("_a1"), "left")
+         .join(a2, F.col("_c_account") == F.col("_a2"), "left")
+         .join(d, "department_id", "left").join(ag, "assignee_id", "left"))
     return (j.withColumn("account_id", F.coalesce("account_id", "_c_account"))
              .withColumn("account_name", F.coalesce("_n1", "_n2"))
              .drop("_c_account", "_a1", "_n1", "_a2", "_n2"))
