@@ -1,7 +1,6 @@
 """D — joins over the driver tables."""
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from fieldops.catalog import register
@@ -11,6 +10,7 @@ from fieldops.catalog.supply import _demand
 from fieldops.catalog import fixtures as fx
 from fieldops.functions import calendar as cal
 from fieldops.operators.business_time import business_days
+from fieldops.operators.windows import bucketed_lag
 from fieldops.operators.joins import (effective_dated_join, explode_months,
                                       fallback_lookup, interval_join, rule_flags, typed_key_join,
                                       wildcard_rule_match)
@@ -190,11 +190,10 @@ from v left join p on v.user_id = p.user_id and p.ts between v.prev_ts and v.ts
 group by 1, 2""")
 def d11(spark, d):
     e = t(spark, d, "events")
-    w = Window.partitionBy("user_id").orderBy("ts", "event_id")
-    visits = (e.where("event_type = 'signup'")
-              .select("event_id", "user_id", F.col("ts").alias("visit_ts"),
-                      F.coalesce(F.lag("ts").over(w), F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
-                      .alias("prev_ts")))
+    signups = e.where("event_type = 'signup'").select("event_id", "user_id", "ts")
+    visits = bucketed_lag(signups, ["user_id"], ["ts", "event_id"], ["ts"], F.trunc(F.col("ts").cast("date"), "MM")).select(
+        "event_id", "user_id", F.col("ts").alias("visit_ts"),
+        F.coalesce("prev_ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz")).alias("prev_ts"))
     facts = e.where("event_type = 'purchase'").select("user_id", F.col("ts").alias("p_ts"),
                                                       F.col("value").cast(DEC).alias("p_value"))
     # inclusive at both ends: a purchase exactly on a visit counts for both intervals (kept as is)
@@ -256,11 +255,10 @@ def d13(spark, d):
     p = t(spark, d, "part").select(
         "p_partkey", "p_type", F.when(F.col("p_size") <= 25, "S").otherwise("L").alias("size_class"),
         "p_brand", F.split_part("p_name", F.lit(" "), F.lit(1)).alias("name_word"))
-    rules = spark.createDataFrame(RULES_D13, "rule_id int, r_type string, r_size string, r_brand string, "
-                                             "r_word string, label string")
-    out = wildcard_rule_match(p, rules, [("p_type", "r_type", 16), ("size_class", "r_size", 8),
-                                         ("p_brand", "r_brand", 4), ("name_word", "r_word", 2)],
-                              fact_id=["p_partkey"], extra_order=[F.col("rule_id")])
+    fields = ("rule_id", "r_type", "r_size", "r_brand", "r_word", "label")
+    out = wildcard_rule_match(p, [dict(zip(fields, r)) for r in RULES_D13],
+                              [("p_type", "r_type", 16), ("size_class", "r_size", 8), ("p_brand", "r_brand", 4),
+                               ("name_word", "r_word", 2)], order=["rule_id"])
     return out.select("p_partkey", "rule_id", "label", F.col("_score").alias("score"))
 
 

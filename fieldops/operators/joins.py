@@ -94,23 +94,38 @@ def explode_months(df: DataFrame, month_col: str, back: int, forward: int = 0,
                                                     lambda k: F.add_months(F.col(month_col), k))))
 
 
-def wildcard_rule_match(facts: DataFrame, rules: DataFrame, attrs: Sequence[tuple[str, str, int]],
-                        fact_id: Sequence[str], extra_order: Sequence[Column] = ()) -> DataFrame:
-    """D13 — rules whose NULL attributes match anything; the most specific rule wins.
-
-    ``attrs`` = (fact column, rule column, weight).  Score = Σ weight of non-NULL rule attributes.
-    Rules are a small seed, which the planner sends to the facts; the top-1 runs per fact id.
+def wildcard_rule_match(facts: DataFrame, rules: Sequence[dict], attrs: Sequence[tuple[str, str, int]],
+                        order: Sequence[str] = ()) -> DataFrame:
+    """D13 — rules whose None attributes match anything; the most specific rule wins.
+
+    ``attrs`` = (fact column, rule field, weight).  A rule's score is the sum of the weights of its set
+    attributes, so the rules are sorted once, by score and then by the fields of ``order``, and a fact takes
+    the first that fits: a search in a literal, without join, shuffle or fact key.  ``rules`` are maintained
+    by hand and sent with the plan.  The fields of the rule and ``_score`` are added; they are NULL and 0 for
+    a fact that no rule fits.  A NULL in a fact fits only rules that leave the attribute open.
     """
-    r = rules
-    cond = None
-    score = F.lit(0)
-    for fc, rc, wgt in attrs:
-        m = r[rc].isNull() | (facts[fc] == r[rc])
-        cond = m if cond is None else cond & m
-        score = score + F.when(r[rc].isNotNull(), F.lit(wgt)).otherwise(0)
-    j = facts.join(r, cond, "left").withColumn("_score", score)
-    w = Window.partitionBy(*_cols(fact_id)).orderBy(F.col("_score").desc(), *extra_order)
-    return j.withColumn("_rn", F.row_number().over(w)).where("_rn = 1").drop("_rn")
+    fields = list(dict.fromkeys([*[rf for _, rf, _ in attrs], *[k for r in rules for k in r]]))
+    types = {rf: facts.schema[fc].dataType for fc, rf, _ in attrs}
+    score = lambda r: sum(w for _, rf, w in attrs if r.get(rf) is not None)
+    ranked = sorted(rules, key=lambda r: (-score(r), *[r[k] for k in order]))
+
+    def value(r, k):
+        v = F.lit(r.get(k))
+        return v.cast(types[k]) if k in types else v if any(x.get(k) is not None for x in rules) else v.cast("string")
+
+    lit = F.array(*[F.struct(*[value(r, k).alias(k) for k in fields], F.lit(score(r)).alias("_score")) for r in ranked or [{}]])
+    if not ranked:
+        lit = F.slice(lit, 1, 0)
+
+    def fits(r):
+        out = F.lit(True)
+        for fc, rf, _ in attrs:
+            out = out & (r[rf].isNull() | F.coalesce(r[rf] == facts[fc], F.lit(False)))
+        return out
+
+    won = facts.withColumn("_rule", F.get(F.filter(lit, fits), F.lit(0)))
+    return won.select("*", *[F.col("_rule")[k].alias(k) for k in fields],
+                      F.coalesce(F.col("_rule")["_score"], F.lit(0)).alias("_score")).drop("_rule")
 
 
 def typed_key_join(left: DataFrame, right: DataFrame, left_type: str, left_id: str,

@@ -86,11 +86,15 @@ def test_effective_dated_overlap_gap_boundaries(spark):
 
 def test_wildcard_rules_and_flags(spark):
     facts = spark.createDataFrame([(1, "A", "x"), (2, "B", None), (3, None, "y")], "id int, t string, m string")
-    rules = spark.createDataFrame([(10, None, None, "any"), (11, "A", None, "A*"), (12, "A", "x", "Ax"),
-                                   (13, None, "y", "*y")], "rid int, rt string, rm string, label string")
-    got = {r.id: r.label for r in wildcard_rule_match(facts, rules, [("t", "rt", 16), ("m", "rm", 8)],
-                                                      ["id"], [F.col("rid")]).collect()}
+    rules = [dict(rid=10, label="any"), dict(rid=11, rt="A", label="A*"), dict(rid=12, rt="A", rm="x", label="Ax"),
+             dict(rid=13, rm="y", label="*y"), dict(rid=14, rm="y", label="tie")]
+    attrs = [("t", "rt", 16), ("m", "rm", 8)]
+    got = {r.id: r.label for r in wildcard_rule_match(facts, rules, attrs, ["rid"]).collect()}
     assert got == {1: "Ax", 2: "any", 3: "*y"}   # NULL in the fact never equals a set rule value
+    twice = facts.union(facts)
+    assert wildcard_rule_match(twice, rules, attrs, ["rid"]).count() == 6   # equal facts stay
+    none = wildcard_rule_match(facts, [], attrs).collect()
+    assert [(r.rt, r._score) for r in none] == [(None, 0)] * 3
     rows = spark.createDataFrame([(1, "S", dt.date(2024, 1, 9)), (2, "S", dt.date(2024, 1, 10))],
                                  "id int, sup string, d date")
     f = {r.id: (r.is_claimed, r.takeover) for r in rule_flags(

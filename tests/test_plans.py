@@ -12,8 +12,8 @@ STATEFUL = ("a03", "a04", "a05", "a06", "w0")   # these write files when called
 # queries whose BroadcastNestedLoopJoin is against a one-row scalar, a month list or a small rule seed
 BOUNDED_NESTED_LOOP = {"h04_literal_relation", "k06_demand_classification", "k07_abc_by_value",
                        "k08_lifecycle_and_method_routing", "k09_forecast", "k10_walk_forward_backtest", "k11_reorder_point",
-                       "a09_business_parameters", "d07_cross_join_tiny", "d13_wildcard_rule_join", "d21_non_equi_first_demand",
-                       "k28_billing_key_by_rules", "k36_partner_followup", "f12_ratio_two_partition_levels",
+                       "a09_business_parameters", "d07_cross_join_tiny", "d21_non_equi_first_demand",
+                       "k36_partner_followup", "f12_ratio_two_partition_levels",
                        "g04_latest_partition_filter"}
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
