@@ -145,7 +145,7 @@ def u03(spark, d):
 @register("u08_receipt_lead_time", sql=f"""with {SQL_BASE}, {sql_facts('r', 101)}, {sql_facts('o', 120)},
 fo as (select company_id, min(task_start_date) as fo from o group by 1)
 select r.*, date_diff('day', cast(fo.fo as date), cast(r.task_start_date as date)) as delivery_lead_time_days,
-  coalesce(date_diff('day', cast(fo.fo as date), cast(r.task_start_date as date)) >= 0, false) as is_lead_time_valid
+  coalesce(r.task_start_date >= fo.fo, false) as is_lead_time_valid
 from r left join fo on r.company_id = fo.company_id""")
 def u08(spark, d):
     return receipt_lead_time(_facts(spark, d, 101), _facts(spark, d, 120), parent="company_id")

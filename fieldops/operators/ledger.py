@@ -89,9 +89,10 @@ def load_direction(facts: DataFrame, label_col: str | None = None, by_sign_only:
 
 def receipt_lead_time(receipts: DataFrame, orders: DataFrame, parent: str = "parent_id",
                       receipt_date: str = "task_start_date", order_date: str = "task_start_date") -> DataFrame:
-    """U08 — lead time = receipt date − min(order date of the same parent document); valid if ≥ 0.
+    """U08 — lead time = receipt date − min(order date of the same parent document); valid if the
+    receipt is not before that order (by the clock, so a receipt earlier on the order's day is not valid).
     The order side is aggregated to one row per parent first (no fan-out)."""
     o = orders.groupBy(parent).agg(F.min(order_date).alias("_first_order"))
     lead = F.datediff(F.col(receipt_date).cast("date"), F.col("_first_order").cast("date"))
     return (receipts.join(o, parent, "left").withColumn("delivery_lead_time_days", lead)
-            .withColumn("is_lead_time_valid", F.coalesce(lead >= 0, F.lit(False))).drop("_first_order"))
+            .withColumn("is_lead_time_valid", F.coalesce(F.col(receipt_date) >= F.col("_first_order"), F.lit(False))).drop("_first_order"))
