@@ -8,6 +8,10 @@ A query descends in every tree to its longest matching prefix, with the two next
 the first symbol as further strings; then all trees ascend together, one bit at a time, until the
 ranges under the prefixes hold enough candidates.  Candidates are ranked by exact cosine.
 
+Enough is a share of all vectors, since without structure the neighbours lie in a share of them.
+It is counted in distinct vectors: a tree holds each once, and strings of a query that share a
+prefix count once, so that entries / trees is a number of vectors that are surely there.
+
 Trees are cut into cells by their first bits, so that a cell holds about as many vectors whatever
 their number, and cells that hold more are dealt over several tasks, each with a sorted array of
 its own: prefix ranges simply add up.  Equal vectors are one entry, which keeps as many of its
@@ -32,8 +36,8 @@ from fieldops.llm import common as C
 
 K = 5
 TREES, PROBES, SYMBOLS, BITS = 16, 3, 4, 7
-#: ranges are widened until they hold so many entries, over all trees
-CANDIDATES = 16384
+#: ranges are widened until they surely hold so many distinct vectors, and this share of all
+CANDIDATES, SHARE = 1024, 0.02
 #: entries of a cell that are searched in one task, at most
 CELL_ROWS = 20_000
 DEPTH = SYMBOLS * BITS
@@ -157,7 +161,16 @@ def _range(codes: np.ndarray, code: np.ndarray, depth) -> tuple[np.ndarray, np.n
 KEYS = ("dim", "tree", "cell", "salt")
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int = CANDIDATES) -> DataFrame:
+def _once(reps: np.ndarray, code: np.ndarray, depth) -> np.ndarray:
+    """Places of a query's strings, of those that share the first `depth` bits the first alone."""
+    prefix = code >> (DEPTH - depth)
+    order = np.lexsort((prefix, reps))
+    again = np.zeros(len(order), bool)
+    again[1:] = (reps[order][1:] == reps[order][:-1]) & (prefix[order][1:] == prefix[order][:-1])
+    return np.sort(order[~again])
+
+
+def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int = CANDIDATES, share: float = SHARE) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest of vectors (vec_id, embedding) found for each row
     of queries (vec_id, embedding)."""
     keep = k + 1
@@ -165,8 +178,9 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
     asked = valid(queries.where("vec_id is not null")).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").alias("v"))
     points = C.staged(distinct_vectors(every, keep), "vectors")
     n = points.count()
+    enough = TREES * max(1, min(n, max(candidates, math.ceil(share * n))))
     # cells of such a depth that the strings of a query find about four times the candidates in theirs
-    cell_bits = max(0, min(DEPTH - 1, int(math.log2(max(1.0, n * TREES * PROBES / (4 * candidates))))))
+    cell_bits = max(0, min(DEPTH - 1, int(math.log2(max(1.0, n * TREES * PROBES / (4 * enough))))))
     wanted = C.staged(asked.dropDuplicates().join(points.select("rep", "v"), "v").select("query_id", "rep", "v"), "asked")
     probes = wanted.select("rep", "v").dropDuplicates(["rep", "v"])
 
@@ -183,12 +197,13 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
     # 1. how many entries the prefixes hold at each depth, over all trees
     def count(table: pa.Table) -> pa.Table:
         own, ask = _sorted_codes(table)
-        codes, code = own.column("code").to_numpy(), ask.column("code").to_numpy()
+        codes, every, reps = own.column("code").to_numpy(), ask.column("code").to_numpy(), ask.column("rep").to_numpy()
         rep, depth, held = [], [], []
         for d in range(cell_bits, DEPTH + 1):
-            lo, hi = _range(codes, code, d)
+            one = _once(reps, every, d) if d < BITS else np.arange(len(every))
+            lo, hi = _range(codes, every[one], d)
             some = np.flatnonzero(hi > lo)
-            rep.append(ask.column("rep").to_numpy()[some])
+            rep.append(reps[one[some]])
             depth.append(np.full(len(some), d, np.int32))
             held.append((hi - lo)[some])
         return pa.table({"rep": np.concatenate(rep), "depth": np.concatenate(depth), "n": np.concatenate(held)})
@@ -197,13 +212,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
         spread.select(*KEYS, "code", "rep", F.lit(True).alias("query")))
     held = light.groupBy(*KEYS).applyInArrow(count, "rep long, depth int, n long").groupBy("rep", "depth").agg(
         F.sum("n").alias("n"))
-    depths = held.groupBy("rep").agg(F.coalesce(F.max(F.when(F.col("n") >= candidates, F.col("depth"))),
+    depths = held.groupBy("rep").agg(F.coalesce(F.max(F.when(F.col("n") >= enough, F.col("depth"))),
                                                 F.lit(cell_bits)).alias("depth"))
     depths = C.staged(depths, "depths")
 
     # 2. the nearest of what lies under the prefixes at that depth
     def nearest(table: pa.Table) -> pa.Table:
         own, ask = _sorted_codes(table)
+        ask = ask.take(pa.array(_once(ask.column("rep").to_numpy(), ask.column("code").to_numpy(), ask.column("depth").to_numpy())))
         codes, code = own.column("code").to_numpy(), ask.column("code").to_numpy()
         reps, depth = ask.column("rep").to_numpy(), ask.column("depth").to_numpy()
         out_q, out_i, out_s = [], [], []

@@ -403,6 +403,25 @@ def test_forest_deals_out_full_cells(spark, monkeypatch):
     assert sorted(got) == sorted(hash_forest.search(df, df.where("vec_id % 50 = 0")).collect())
 
 
+def test_forest_ranks_a_share_of_all_vectors(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(size=(6000, 64)).astype(np.float32)
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in hash_forest.search(df, df.where("vec_id % 60 = 0"), candidates=16).collect():
+        got[r.query_id].add(r.vec_id)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    hits = sum(len(got[q] & set(np.argsort(-(unit @ unit[q]))[1:6].tolist())) for q in range(0, 6000, 60))
+    assert hits / 500 >= 0.9
+
+
+def test_forest_counts_strings_with_one_prefix_once():
+    reps, code = np.array([5, 5, 5, 6]), np.array([0, 1, 1 << 27, 0])
+    assert hash_forest._once(reps, code, 0).tolist() == [0, 3]
+    assert hash_forest._once(reps, code, 1).tolist() == [0, 2, 3]
+    assert hash_forest._once(reps, code, hash_forest.DEPTH).tolist() == [0, 1, 2, 3]
+
+
 # ---------------------------------------------------------------- 7
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class="site-header">Site name</header>
