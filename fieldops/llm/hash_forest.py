@@ -12,9 +12,10 @@ Enough is a share of all vectors, since without structure the neighbours lie in
 It is counted in distinct vectors: a tree holds each once, and strings of a query that share a
 prefix count once, so that entries / trees is a number of vectors that are surely there.
 
-Trees are cut into cells by their first bits, so that a cell holds about as many vectors whatever
-their number, and cells that hold more are dealt over several tasks, each with a sorted array of
-its own: prefix ranges simply add up.  Equal vectors are one entry, which keeps as many of its
+Trees are cut into cells by their first bits, for each vector length by its own number of vectors,
+and cells that hold more are dealt over several tasks, each with a sorted array of its own: prefix
+ranges simply add up.  A query whose own cells hold too few goes on ascending over the cells that
+share a shorter prefix, to the whole tree if need be.  Equal vectors are one entry, which keeps as many of its
 smallest ids as an answer can show; queries with equal vectors share one search.
 
 Rows: vectors that are null, empty, zero or hold a null or non-finite component take no part.
@@ -40,6 +41,8 @@ TREES, PROBES, SYMBOLS, BITS = 16, 3, 4, 7
 CANDIDATES, SHARE = 1024, 0.02
 #: entries of a cell that are searched in one task, at most
 CELL_ROWS = 20_000
+#: products of entries and queries that a task holds at a time
+PRODUCTS = 1_000_000
 DEPTH = SYMBOLS * BITS
 
 
@@ -119,8 +122,10 @@ def _by_length(lists: pa.Array):
         yield rows, x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
-def strings(points: DataFrame, probes: int, cell_bits: int) -> DataFrame:
-    """(tree, dim, cell, code, ...) for each string of each vector of points (..., v)."""
+def strings(points: DataFrame, probes: int, cell_bits: dict[int, int]) -> DataFrame:
+    """(tree, dim, cell, code, ...) for each string of each vector of points (..., v).
+
+    cell_bits: how many first bits are the cell, by vector length."""
     schema = C.extended(points.schema, ("tree", "integer"), ("dim", "integer"), ("cell", "integer"), ("code", "long"))
     place = points.columns.index("v")
 
@@ -139,7 +144,7 @@ def strings(points: DataFrame, probes: int, cell_bits: int) -> DataFrame:
                             yield pa.RecordBatch.from_arrays(
                                 [*own.columns, pa.array(np.full(n, tree, np.int32)),
                                  pa.array(np.full(n, x.shape[1], np.int32)),
-                                 pa.array((code >> (DEPTH - cell_bits)).astype(np.int32)), pa.array(code)],
+                                 pa.array((code >> (DEPTH - cell_bits[x.shape[1]])).astype(np.int32)), pa.array(code)],
                                 names=schema.names)
 
     return points.mapInArrow(run, schema)
@@ -158,6 +163,18 @@ def _range(codes: np.ndarray, code: np.ndarray, depth) -> tuple[np.ndarray, np.n
     return np.searchsorted(codes, low), np.searchsorted(codes, low + (np.int64(1) << (DEPTH - depth)))
 
 
+def _products(x: np.ndarray, q: np.ndarray, lo: np.ndarray, hi: np.ndarray):
+    """(i, x[lo[i]:hi[i]] @ q[i]) for all i; queries with one range are multiplied together."""
+    order = np.lexsort((hi, lo))
+    cuts = np.flatnonzero(np.concatenate(([True], (np.diff(lo[order]) != 0) | (np.diff(hi[order]) != 0), [True])))
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        low, high = lo[order[a]], hi[order[a]]
+        step = max(1, PRODUCTS // max(1, int(high - low)))
+        for at in range(a, b, step):
+            own = order[at: min(b, at + step)]
+            yield from zip(own.tolist(), q[own] @ x[low:high].T)
+
+
 KEYS = ("dim", "tree", "cell", "salt")
 
 
@@ -177,44 +194,68 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
     every = valid(vectors.where("vec_id is not null")).select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").alias("v"))
     asked = valid(queries.where("vec_id is not null")).select(F.col("vec_id").cast("long").alias("query_id"), F.col("embedding").alias("v"))
     points = C.staged(distinct_vectors(every, keep), "vectors")
-    n = points.count()
-    enough = TREES * max(1, min(n, max(candidates, math.ceil(share * n))))
-    # cells of such a depth that the strings of a query find about four times the candidates in theirs
-    cell_bits = max(0, min(DEPTH - 1, int(math.log2(max(1.0, n * TREES * PROBES / (4 * enough))))))
+    enough, cell_bits = {}, {}
+    for dim, n in points.groupBy(F.size("v")).count().collect():  # a row for each vector length
+        enough[dim] = TREES * max(1, min(n, max(candidates, math.ceil(share * n))))
+        # cells of such a depth that the strings of a query find about four times the candidates in theirs
+        cell_bits[dim] = max(0, min(DEPTH - 1, int(math.log2(max(1.0, n * TREES * PROBES / (4 * enough[dim]))))))
+    lengths = F.broadcast(vectors.sparkSession.createDataFrame(
+        [(dim, n, cell_bits[dim]) for dim, n in enough.items()], "dim int, enough long, bits int"))
     wanted = C.staged(asked.dropDuplicates().join(points.select("rep", "v"), "v").select("query_id", "rep", "v"), "asked")
     probes = wanted.select("rep", "v").dropDuplicates(["rep", "v"])
 
     entries = strings(points, 1, cell_bits)
     cells = C.staged(entries.groupBy("dim", "tree", "cell").agg(
-        F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("salts")), "cells")
-    many = cells.where("salts > 1")
+        F.count("*").alias("held"), F.ceil(F.count("*") / CELL_ROWS).cast("int").alias("salts")), "cells")
+    many = cells.where("salts > 1").drop("held")
+    salted = lambda found: found.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts")
     dealt = (entries.join(many, ["dim", "tree", "cell"], "left")
              .withColumn("salt", F.pmod(F.hash("rep"), F.coalesce("salts", F.lit(1)))).drop("salts"))
-    spread = (strings(probes, PROBES, cell_bits).join(cells, ["dim", "tree", "cell"])
-              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).drop("salts"))
-    spread = C.staged(spread, "probes")
+    hashed = C.staged(strings(probes, PROBES, cell_bits), "probes")
+    spread = salted(hashed.join(cells.drop("held"), ["dim", "tree", "cell"]))
+    # cells by the prefixes of their own, down to none: (dim, tree, depth, prefix, cell, held, salts)
+    above = cells.join(lengths, "dim").withColumn("depth", F.explode(F.sequence(F.lit(0), F.col("bits")))).withColumn(
+        "prefix", F.expr("cast(shiftright(cell, bits - depth) as long)")).drop("enough", "bits")
 
     # 1. how many entries the prefixes hold at each depth, over all trees
     def count(table: pa.Table) -> pa.Table:
         own, ask = _sorted_codes(table)
         codes, every, reps = own.column("code").to_numpy(), ask.column("code").to_numpy(), ask.column("rep").to_numpy()
         rep, depth, held = [], [], []
-        for d in range(cell_bits, DEPTH + 1):
+        for d in range(cell_bits[ask.column("dim")[0].as_py()] if len(every) else DEPTH + 1, DEPTH + 1):
             one = _once(reps, every, d) if d < BITS else np.arange(len(every))
             lo, hi = _range(codes, every[one], d)
             some = np.flatnonzero(hi > lo)
             rep.append(reps[one[some]])
             depth.append(np.full(len(some), d, np.int32))
             held.append((hi - lo)[some])
-        return pa.table({"rep": np.concatenate(rep), "depth": np.concatenate(depth), "n": np.concatenate(held)})
+        at = np.zeros(0, np.int64)
+        return pa.table({"rep": np.concatenate([at, *rep]), "depth": np.concatenate([at.astype(np.int32), *depth]),
+                         "n": np.concatenate([at, *held])})
 
     light = dealt.select(*KEYS, "code", "rep", F.lit(False).alias("query")).unionByName(
         spread.select(*KEYS, "code", "rep", F.lit(True).alias("query")))
     held = light.groupBy(*KEYS).applyInArrow(count, "rep long, depth int, n long").groupBy("rep", "depth").agg(
         F.sum("n").alias("n"))
-    depths = held.groupBy("rep").agg(F.coalesce(F.max(F.when(F.col("n") >= enough, F.col("depth"))),
-                                                F.lit(cell_bits)).alias("depth"))
-    depths = C.staged(depths, "depths")
+    goal = F.broadcast(lengths.select("dim", "enough"))
+    within = probes.select("rep", F.size("v").alias("dim")).join(goal, "dim").join(held, "rep", "left").groupBy("rep").agg(
+        F.max(F.when(F.col("n") >= F.col("enough"), F.col("depth"))).alias("depth"))
+    within = C.staged(within, "within")
+    # queries with too few in their own cells ascend over the cells around; at depth 0 these hold all
+    short = (hashed.join(within.where("depth is null").select("rep"), "rep").join(lengths, "dim")
+             .withColumn("depth", F.explode(F.expr("if(bits > 0, sequence(0, bits - 1), array(0))")))
+             .select("rep", "dim", "enough", "tree", "depth", F.expr("cast(shiftright(cell, bits - depth) as long)").alias("prefix")).distinct())
+    sums = above.groupBy("dim", "tree", "depth", "prefix").agg(F.sum("held").alias("held"))
+    around = (short.join(sums, ["dim", "tree", "depth", "prefix"]).groupBy("rep", "enough", "depth").agg(F.sum("held").alias("n"))
+              .groupBy("rep").agg(F.max(F.when(F.col("n") >= F.col("enough"), F.col("depth"))).alias("depth")))
+    depths = C.staged(within.where("depth is not null").unionByName(around), "depths")
+    # a prefix shorter than a cell's goes to all cells under it, once; at depth 0 a single tree holds all
+    aimed = (hashed.join(depths, "rep").join(lengths.drop("enough"), "dim").where("depth > 0 or tree = 0")
+             .withColumn("own", F.col("depth")).withColumn("depth", F.least("own", "bits"))
+             .withColumn("prefix", F.expr("cast(shiftright(cell, bits - depth) as long)")).drop("bits", "cell"))
+    aimed = aimed.where("own > depth").unionByName(
+        aimed.where("own = depth").dropDuplicates(["rep", "tree", "prefix"]))
+    aimed = salted(aimed.join(above.drop("held"), ["dim", "tree", "depth", "prefix"])).withColumn("depth", F.col("own"))
 
     # 2. the nearest of what lies under the prefixes at that depth
     def nearest(table: pa.Table) -> pa.Table:
@@ -228,8 +269,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
             (_, q), = _by_length(ask.column("v"))
             lo, hi = _range(codes, code, depth)
             entry = own.column("rep").to_numpy()
-            for i in range(len(code)):
-                s = x[lo[i]: hi[i]] @ q[i]
+            for i, s in _products(x, q, lo, hi):
                 take = np.arange(len(s))
                 if len(s) > keep:  # all that tie with the last, then the smaller ids
                     take = np.flatnonzero(s >= np.partition(s, -keep)[-keep] - 1e-12)
@@ -245,7 +285,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = K, candidates: int =
 
     kind = points.schema["v"].dataType.simpleString()
     heavy = dealt.select(*KEYS, "code", "rep", "ids", "v", F.lit(False).alias("query"), F.lit(0).alias("depth")).unionByName(
-        spread.join(depths, "rep").select(*KEYS, "code", "rep", F.lit(None).cast("array<bigint>").alias("ids"), "v",
+        aimed.select(*KEYS, "code", "rep", F.lit(None).cast("array<bigint>").alias("ids"), "v",
                                           F.lit(True).alias("query"), "depth"))
     found = heavy.groupBy(*KEYS).applyInArrow(nearest, f"rep long, found long, ids array<bigint>, fv {kind}")
     found = found.groupBy("rep", "found").agg(F.first("ids").alias("ids"), F.first("fv").alias("fv"))

@@ -415,6 +415,28 @@ def test_forest_ranks_a_share_of_all_vectors(spark):
     assert hits / 500 >= 0.9
 
 
+def test_forest_ascends_beyond_its_cells(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(3, 24))[rng.integers(0, 3, 2000)] + 0.05 * rng.normal(size=(2000, 24))  # three clusters
+    x[::200] = rng.normal(size=(10, 24))  # and ten vectors outside of them
+    rows = [(i, v) for i, v in enumerate(x.astype(np.float32).tolist())]
+    rare = rng.normal(size=(9, 3)).astype(np.float32)  # a length of which there are few
+    df = spark.createDataFrame(rows + [(10_000 + i, v) for i, v in enumerate(rare.tolist())], "vec_id long, embedding array<float>")
+    for cell_rows in (hash_forest.CELL_ROWS, 50):
+        monkeypatch.setattr(hash_forest, "CELL_ROWS", cell_rows)
+        got = defaultdict(list)
+        for r in hash_forest.search(df, df.where("vec_id % 200 = 0 or vec_id >= 10000"), k=30, candidates=60).collect():
+            got[r.query_id].append((r["rank"], r.vec_id, r.score))
+        assert sorted(got) == [*range(0, 2000, 200), *range(10_000, 10_009)]
+        for q, mine in got.items():
+            part, first = (rare, 10_000) if q >= 10_000 else (x.astype(np.float32), 0)
+            unit = part.astype(float) / np.linalg.norm(part.astype(float), axis=1, keepdims=True)
+            s = unit @ unit[q - first]
+            assert sorted(k for k, _, _ in mine) == [*range(1, min(30, len(part) - 1) + 1)], q
+            assert all(s[v - first] == pytest.approx(c, abs=1e-9) for _, v, c in mine)
+            assert q not in [v for _, v, _ in mine]
+
+
 def test_forest_counts_strings_with_one_prefix_once():
     reps, code = np.array([5, 5, 5, 6]), np.array([0, 1, 1 << 27, 0])
     assert hash_forest._once(reps, code, 0).tolist() == [0, 3]
