@@ -6,8 +6,8 @@ chunk is its largest there.  The means of these over all chunks and their larges
 logistic unit, so a single chunk and the whole document both count.
 
 It is fitted by gradient descent to a bounded balanced sample (``labelled.PER_CLASS`` documents of
-each class, from each eight chunks spread over the whole text); the intercept is then moved to the
-true share of the classes.  Scores come from whole texts.
+each class), from the same chunks of the whole texts that scores come from; the intercept is then
+moved to the true share of the classes.
 
 Rows: a null or empty text is an empty document with a score like any other.  Without labels of
 both classes the score is the share of label 1 (0.5 if there are no labels).  Repeated rows are
@@ -30,7 +30,9 @@ KERNEL, STRIDE, DIM, FILTERS = 8, 4, 4, 16
 #: a chunk is four units of 64 bytes and starts three units after the one before
 UNIT, CHUNK_UNITS, STEP_UNITS = 64, 4, 3
 PLACES = UNIT // STRIDE
-TRAIN_CHUNKS, EPOCHS, BATCH, RATE = 8, 30, 64, 0.01
+EPOCHS, BATCH, RATE = 30, 64, 0.01
+#: units whose answers are held at a time in training, so that a long text needs no more memory
+SLICE = 4096
 THRESHOLD = 0.7
 
 
@@ -57,15 +59,20 @@ def _responses(model: dict, data: np.ndarray) -> np.ndarray:
     return np.maximum(out, 0, out=out)
 
 
+def _chunks(units: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(chunks of each document, first unit of each chunk, last unit it can hold)."""
+    chunks = np.maximum(1, -(-(units - 1) // STEP_UNITS))
+    start = np.repeat(first[:-1], chunks) + STEP_UNITS * C.ranges(np.zeros_like(chunks), chunks)
+    return chunks, start, np.repeat(first[1:] - 1, chunks)
+
+
 def features(model: dict, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
     """Means and maxima over chunks of each document's largest answers: (documents, 2 * FILTERS)."""
     units, first = _layout(offs)
     out = _responses(model, _padded(buf, offs, first))
     out[(first[1:] * PLACES) - 1] = 0  # these look across a document's end
     top = out.reshape(-1, PLACES, FILTERS).max(axis=1)
-    chunks = np.maximum(1, -(-(units - 1) // STEP_UNITS))
-    start = np.repeat(first[:-1], chunks) + STEP_UNITS * C.ranges(np.zeros_like(chunks), chunks)
-    last = np.repeat(first[1:] - 1, chunks)
+    chunks, start, last = _chunks(units, first)
     best = top[start]
     for k in range(1, CHUNK_UNITS):
         best = np.maximum(best, top[np.minimum(start + k, last)])
@@ -80,13 +87,13 @@ def probability(model: dict, buf: np.ndarray, offs: np.ndarray) -> np.ndarray:
 
 # ---------------------------------------------------------------- fitting
 
-def _training_chunks(texts: list[str]) -> np.ndarray:
-    """TRAIN_CHUNKS chunks of each text, evenly spread over it: (texts, chunks, bytes)."""
+def _training_chunks(texts: list[str], chunks: int = 8) -> np.ndarray:
+    """Some chunks of each text, evenly spread over it: (texts, chunks, bytes); for _gradients alone."""
     size = UNIT * CHUNK_UNITS
-    out = np.zeros((len(texts), TRAIN_CHUNKS, size + KERNEL), np.uint8)
+    out = np.zeros((len(texts), chunks, size + KERNEL), np.uint8)
     for i, text in enumerate(texts):
         raw = np.frombuffer(text.encode(), np.uint8)
-        for k, a in enumerate(np.linspace(0, max(0, len(raw) - size), TRAIN_CHUNKS).astype(int)):
+        for k, a in enumerate(np.linspace(0, max(0, len(raw) - size), chunks).astype(int)):
             part = raw[a: a + size]
             out[i, k, : len(part)] = part
     return out
@@ -105,7 +112,7 @@ def train(texts: list[str], labels: list[int], share: float) -> bytes:
         model["out"][:] = 0
         model["intercept"][:] = np.log(share / (1 - share))
         return _dump(model)
-    data = _training_chunks(texts)
+    raw = [t.encode() for t in texts]
     names = list(model)
     first = {k: np.zeros_like(model[k], np.float64) for k in names}
     second = {k: np.zeros_like(model[k], np.float64) for k in names}
@@ -114,7 +121,7 @@ def train(texts: list[str], labels: list[int], share: float) -> bytes:
         order = rng.permutation(len(y))
         for a in range(0, len(y), BATCH):
             own = order[a: a + BATCH]
-            grads = _gradients(model, data[own], y[own])
+            grads = _text_gradients(model, [raw[i] for i in own], y[own])
             step += 1
             rate = RATE * (1 - epoch / EPOCHS)
             for k in names:
@@ -127,7 +134,61 @@ def train(texts: list[str], labels: list[int], share: float) -> bytes:
     return _dump(model)
 
 
+def _unit_tops(model: dict, data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Each filter's largest answer in each unit of padded data, and its place there."""
+    n = int(first[-1])
+    top, place = np.empty((n, FILTERS), np.float32), np.empty((n, FILTERS), np.int64)
+    for a in range(0, n, SLICE):
+        b = min(n, a + SLICE)
+        out = _responses(model, data[a * UNIT: b * UNIT + KERNEL])
+        ends = first[1:][(first[1:] > a) & (first[1:] <= b)] - a
+        out[ends * PLACES - 1] = 0  # these look across a document's end
+        out = out.reshape(-1, PLACES, FILTERS)
+        place[a:b] = out.argmax(axis=1)
+        top[a:b] = np.take_along_axis(out, place[a:b, None], axis=1)[:, 0]
+    return top, place
+
+
+def _text_gradients(model: dict, texts: list[bytes], y: np.ndarray) -> dict:
+    """Gradients over all chunks of the texts; of each chunk the places of the largest answers count."""
+    buf, offs = C.joined(texts)
+    units, first = _layout(offs)
+    data = _padded(buf, offs, first)
+    top, place = _unit_tops(model, data, first)
+    chunks, start, last = _chunks(units, first)
+    best, at = top[start], np.repeat(start[:, None], FILTERS, axis=1)
+    for k in range(1, CHUNK_UNITS):
+        unit = np.minimum(start + k, last)
+        at = np.where(top[unit] > best, unit[:, None], at)
+        best = np.maximum(best, top[unit])
+    begin = np.concatenate(([0], np.cumsum(chunks)[:-1]))
+    most = np.maximum.reduceat(best, begin, axis=0)
+    feats = np.hstack([np.add.reduceat(best, begin, axis=0) / chunks[:, None], most]).astype(np.float64)
+    z = feats @ model["out"] + model["intercept"]
+    dz = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y) / len(y)
+    dfeat = dz[:, None] * model["out"][None, :]
+    dbest = np.repeat(dfeat[:, :FILTERS] / chunks[:, None], chunks, axis=0)
+    for f in range(FILTERS):  # of a document's chunks with the largest answer, the first
+        found = np.flatnonzero(best[:, f] == np.repeat(most[:, f], chunks))
+        doc = np.searchsorted(begin, found, side="right") - 1
+        doc, one = np.unique(doc, return_index=True)
+        dbest[found[one], f] += dfeat[doc, FILTERS + f]
+    dbest *= best > 0
+    # chunks that overlap share places; then the sums by byte, place in the filter and filter
+    filters = np.arange(FILTERS)
+    dtop = np.bincount((at * FILTERS + filters).ravel(), dbest.ravel(), len(top) * FILTERS)
+    used = np.flatnonzero(dtop)
+    spot = used // FILTERS * UNIT + place.ravel()[used] * STRIDE
+    sums = np.stack([np.bincount(data[spot + k].astype(np.int64) * FILTERS + used % FILTERS, dtop[used], 256 * FILTERS)
+                     for k in range(KERNEL)]).reshape(KERNEL, 256, FILTERS)
+    dfilters = np.einsum("kbf,bd->kdf", sums, model["embedding"], optimize=True).reshape(KERNEL * DIM, FILTERS)
+    demb = np.einsum("kbf,kdf->bd", sums, model["filters"].reshape(KERNEL, DIM, FILTERS), optimize=True)
+    return {"embedding": demb, "filters": dfilters + 1e-4 * model["filters"], "bias": dbest.sum(axis=0),
+            "out": feats.T @ dz + 1e-4 * model["out"], "intercept": np.array([dz.sum()])}
+
+
 def _gradients(model: dict, data: np.ndarray, y: np.ndarray) -> dict:
+    """The same for chunks of one shape, (texts, chunks, bytes); a test holds it against numeric gradients."""
     docs, chunks, width = data.shape
     emb = model["embedding"][data]  # docs, chunks, width, DIM
     n = (width - KERNEL) // STRIDE

@@ -339,6 +339,62 @@ def test_classifier_on_odd_rows(spark, odd, none):
     assert quality_cnn.score(none, quality_cnn.learn(none, labels.where("false"))).count() == 0
 
 
+def _junk_texts(rng, n):
+    """Texts of 3,000 to 4,000 bytes; every other one holds 64 bytes of junk between eight even spots."""
+    vocabulary = ["".join(chr(c) for c in rng.integers(97, 123, int(rng.integers(2, 9)))) for _ in range(200)]
+    out = []
+    for i in range(n):
+        size = int(rng.integers(3000, 4000))
+        text = bytearray(" ".join(rng.choice(vocabulary, size // 2)).encode()[:size])
+        if i % 2:
+            spots, k = np.linspace(0, size - 256, 8).astype(int), int(rng.integers(0, 7))
+            at = (spots[k] + 256 + spots[k + 1] - 64) // 2
+            text[at:at + 64] = bytes(rng.choice(list(b"#@$%{}"), 64).tolist())
+        out.append(text.decode())
+    return out, [1 - i % 2 for i in range(n)]
+
+
+def test_training_sees_whole_texts():
+    rng = np.random.default_rng(11)
+    model = quality_cnn.load(quality_cnn.train(*_junk_texts(rng, 400), 0.5))
+    texts, marks = _junk_texts(rng, 200)
+    right = (quality_cnn.probability(model, *common.joined([t.encode() for t in texts])) >= 0.5) == np.array(marks)
+    assert right[::2].mean() > 0.9 and right[1::2].mean() > 0.9
+
+
+def test_gradient_over_whole_texts(monkeypatch):
+    rng = np.random.default_rng(0)
+    model = quality_cnn.load(quality_cnn.train([], [], 0.5))
+    model["out"] = rng.normal(size=2 * quality_cnn.FILTERS)
+    model["bias"] += np.float32(0.1)  # bytes of zero answer 0 without it, where there is no slope
+    texts = [b"some text!! of bytes " * 30, b"", b"other ### words " * 50 + b"end", b"x" * 56]
+    y = np.array([1.0, 0.0, 0.0, 1.0])
+    buf, offs = common.joined(texts)
+
+    def loss(m):
+        z = quality_cnn.features(m, buf, offs).astype(np.float64) @ m["out"] + m["intercept"]
+        return np.mean(np.log1p(np.exp(-z * (2 * y - 1))))
+
+    grads = quality_cnn._text_gradients(model, texts, y)
+    monkeypatch.setattr(quality_cnn, "SLICE", 3)
+    again = quality_cnn._text_gradients(model, texts, y)
+    assert all(grads[k] == pytest.approx(again[k], abs=1e-6) for k in grads)
+    for name, at in (("filters", (3, 5)), ("embedding", (ord("t"), 1)), ("bias", (5,)), ("intercept", (0,)), ("out", (20,))):
+        up, down = ({k: v.copy() for k, v in model.items()} for _ in range(2))
+        up[name][at] += 1e-3
+        down[name][at] -= 1e-3
+        assert grads[name][at] == pytest.approx((loss(up) - loss(down)) / 2e-3, abs=5e-3)
+
+
+def test_long_texts_held_out(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    got = quality_cnn.score(docs, quality_cnn.learn(docs, labels)).where("held_out and length(text) > 2048").join(
+        labels.where("quality is not null"), "doc_id").select("score", "quality").collect()
+    for mark in (0, 1):
+        own = [(r.score >= 0.5) == mark for r in got if r.quality == mark]
+        assert len(own) > 30 and np.mean(own) > 0.75
+
+
 def test_network_gradient():
     rng = np.random.default_rng(0)
     model = quality_cnn.load(quality_cnn.train([], [], 0.5))
