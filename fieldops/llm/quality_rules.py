@@ -70,7 +70,8 @@ def _repeated_lines(buf: np.ndarray, offs: np.ndarray, prefix: np.ndarray) -> np
     doc = np.searchsorted(offs, start, side="right") - 1
     doc = np.minimum(doc, docs - 1)
     end = np.minimum(np.append(start[1:] - 1, len(buf)), len(buf))
-    end = np.where(np.append(doc[1:] != doc[:-1], True), offs[doc + 1], end)
+    closed = np.concatenate(([0], buf == 10))[offs[doc + 1]]  # a break at the document's very end
+    end = np.where(np.append(doc[1:] != doc[:-1], True), offs[doc + 1] - closed, end)
     end = np.maximum(end, start)
     solid = np.concatenate(([0], np.cumsum(~C._SPACE[buf])))
     real = solid[end] > solid[start]

@@ -332,6 +332,16 @@ def test_rule_counts(spark, odd, none):
     assert quality_rules.judge(none, quality_rules.learn(none, none_labels)).count() == 0
 
 
+def test_repeated_lines_of_texts_that_end_with_a_break():
+    texts = ["foo\nfoo\n", "", "x", "foo\n", "\n", "a\na\n\n", "a\n \na\n", "", "b\nb", "\n\nc\nc\n"]
+    want = {t: len(ls) - len(set(ls)) for t in texts for ls in [[x for x in t.split("\n") if x.strip()]]}
+    for turn in range(len(texts)):  # each in the first, a middle and the last place
+        for own in (texts[turn:] + texts[:turn], texts[turn:turn + 1]):
+            buf, offs = common.joined([t.encode() for t in own])
+            counts, _ = quality_rules._analyse(buf, offs)
+            assert counts["n_dup_lines"].tolist() == [want[t] for t in own]
+
+
 def test_classifier_on_odd_rows(spark, odd, none):
     labels = spark.createDataFrame([(1, 1), (5, 0), (None, 1), (6, None)], "doc_id long, quality int")
     got = quality_cnn.score(odd, quality_cnn.learn(odd, labels)).collect()
