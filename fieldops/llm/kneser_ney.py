@@ -65,18 +65,22 @@ def _count(keys: np.ndarray, counts: np.ndarray | None = None) -> tuple[np.ndarr
 
 
 def _blob(keys: np.ndarray, counts: np.ndarray) -> bytes:
-    """Sorted keys as differences and counts, bytes of equal weight together, compressed."""
+    """Sorted keys as differences and counts, bytes of equal weight together, compressed.
+
+    Before these their number and the bytes of a count: 4, or 8 where one needs more."""
+    size = 8 if counts.size and counts.max() >= 1 << 32 else 4
     steps = np.diff(keys, prepend=np.uint64(0)).astype("<u8")
     parts = [steps.view(np.uint8).reshape(-1, 8).T.tobytes(),
-             counts.astype("<u4").reshape(len(keys), -1).view(np.uint8).reshape(len(keys), -1).T.tobytes()]
-    return np.int64(len(keys)).tobytes() + pa.compress(b"".join(parts), codec="lz4_raw", asbytes=True)
+             counts.astype(f"<u{size}").reshape(len(keys), -1).view(np.uint8).reshape(len(keys), -1).T.tobytes()]
+    return np.int64(len(keys)).tobytes() + bytes([size]) + pa.compress(b"".join(parts), codec="lz4_raw", asbytes=True)
 
 
 def _unblob(blob: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = int(np.frombuffer(blob[:8], np.int64)[0])
-    raw = np.frombuffer(pa.decompress(blob[8:], decompressed_size=n * (8 + 4 * width), codec="lz4_raw", asbytes=True), np.uint8)
+    size = blob[8]
+    raw = np.frombuffer(pa.decompress(blob[9:], decompressed_size=n * (8 + size * width), codec="lz4_raw", asbytes=True), np.uint8)
     steps = np.ascontiguousarray(raw[: 8 * n].reshape(8, n).T).view("<u8").ravel()
-    counts = np.ascontiguousarray(raw[8 * n:].reshape(4 * width, n).T).view("<u4")
+    counts = np.ascontiguousarray(raw[8 * n:].reshape(size * width, n).T).view(f"<u{size}")
     return np.cumsum(steps, dtype=np.uint64), counts.astype(np.int64).reshape((n, width) if width > 1 else n)
 
 

@@ -297,6 +297,14 @@ def test_kneser_ney(spark, odd, none):
     assert kneser_ney.score_documents(none).count() == 0
 
 
+def test_counts_beyond_four_bytes_are_sent_whole():
+    keys = np.array([3, 9, 1 << 63], np.uint64)
+    for counts in (np.array([1, (1 << 32) - 1, 2]), np.array([1, 1 << 32, (1 << 40) + 5]),
+                   np.array([[1 << 32, 0, 1, 7], [2, 3, 4, 5], [6, 7, 8, 1 << 50]])):
+        back, same = kneser_ney._unblob(kneser_ney._blob(keys, counts), 1 if counts.ndim == 1 else 4)
+        assert back.tolist() == keys.tolist() and same.tolist() == counts.tolist()
+
+
 # ---------------------------------------------------------------- 2 and 4
 
 def test_classifiers_on_held_out_rows(spark):
