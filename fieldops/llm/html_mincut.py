@@ -25,6 +25,8 @@ from fieldops.llm import common as C
 SILENT = frozenset("script style template noscript title head iframe object svg math canvas audio video select textarea button option datalist".split())
 #: tags that stay within a block (fixed values of HTML)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby rb rp rt s samp small span strike strong sub sup time tt u var wbr br img input meta link".split())
+#: what does not end an open head (fixed values of HTML)
+HEAD = frozenset("html head base basefont bgsound link meta title style script noscript noframes template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: an open element that an opening tag ends, because it cannot hold it
 IMPLIED_END = {"p": {"p"}, "li": {"li", "p"}, "tr": {"tr", "td", "th", "p"}, "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
@@ -87,7 +89,14 @@ class _Page(HTMLParser):
     def _end_block(self) -> None:
         self.open = None
 
+    def _end_head(self) -> None:
+        """End a head that was left open, before what it cannot hold."""
+        while self.stack and self.stack[-1][0] == "head":
+            self._close(len(self.stack) - 1)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if tag not in HEAD:
+            self._end_head()
         if tag == "br":
             self._text(" ")
             return
@@ -137,7 +146,9 @@ class _Page(HTMLParser):
 
     def _text(self, data: str) -> None:
         if self.silent:
-            return
+            if self.stack[-1][0] != "head" or not data.strip():
+                return
+            self._end_head()
         if self.open is None:
             if not data.strip():
                 return

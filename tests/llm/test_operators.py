@@ -542,6 +542,18 @@ def test_main_text(spark):
     assert html_mincut.extract(df.where("false")).count() == 0
 
 
+def test_pages_that_leave_the_head_open():
+    want = html_mincut.main_text(PAGE)
+    assert want.startswith("Head & line")
+    for page in (PAGE.replace("</head>", ""), PAGE.replace("<body>", ""), PAGE.replace("</head><body>", ""),
+                 PAGE.replace("<head>", "<head><head>").replace("</head>", ""),
+                 PAGE.replace("</head>", "<noscript><div>no script</div></noscript><meta name=a><script>1</script>")):
+        assert html_mincut.main_text(page) == want
+    line = "A line of plain text that follows an open head, with quite some words in it."
+    assert html_mincut.main_text(f"<html><head><title>T</title>\n{line}") == line
+    assert html_mincut.main_text("<html><head><title>T</title><article><p>" + line) == line
+
+
 def test_min_cut_is_minimal():
     rng = np.random.default_rng(5)
     for _ in range(60):
