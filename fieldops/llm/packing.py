@@ -16,6 +16,7 @@ import json
 import os
 import re
 import zlib
+from bisect import bisect_left, insort
 from collections import defaultdict
 
 import numpy as np
@@ -119,8 +120,9 @@ class _Bins:
         self.capacity = capacity
         self.items: list[dict[int, int]] = []  # bin -> {item: length}
         self.fill: list[int] = []
-        self.one: dict[int, set[tuple[int, int]]] = defaultdict(set)  # length -> (bin, item)
-        self.two: dict[int, set[tuple[int, int, int]]] = defaultdict(set)  # sum -> (bin, item, item)
+        # in order, so that the emptiest bin comes first
+        self.one: dict[int, list[tuple[int, int, int]]] = defaultdict(list)  # length -> (fill, bin, item)
+        self.two: dict[int, list[tuple[int, int, int, int]]] = defaultdict(list)  # sum -> (fill, bin, item, item)
         self.one_mask = 0
         self.two_mask = 0
 
@@ -149,23 +151,37 @@ class _Bins:
             self._enter(at, True)
 
     def _enter(self, at: int, enter: bool) -> None:
-        """Put a bin's lengths and pairs into the index, or take them out; full bins are not there."""
+        """Put a bin's lengths and pairs into the index, or take them out; full bins are not there.
+
+        Items of one length stand in for each other: one is entered, and two for pairs."""
         if not 0 < self.fill[at] < self.capacity:
             return
-        own = list(self.items[at].items())
-        for i, (x, n) in enumerate(own):
-            self._mark("one", n, (at, x), enter)
-            if len(own) <= 32:
-                for y, m in own[i + 1:]:
-                    self._mark("two", n + m, (at, x, y), enter)
+        own: dict[int, list[int]] = {}
+        for x, n in self.items[at].items():
+            same = own.setdefault(n, [])
+            if len(same) < 2:
+                same.append(x)
+        fill, several = self.fill[at], list(own.items())
+        sums: dict[int, tuple[int, int]] = {}
+        for i, (n, xs) in enumerate(several):
+            self._mark("one", n, (fill, at, xs[0]), enter)
+            if len(xs) == 2:
+                sums.setdefault(2 * n, (xs[0], xs[1]))
+            for m, ys in several[i + 1:]:
+                sums.setdefault(n + m, (xs[0], ys[0]))
+        for n, pair in sums.items():
+            self._mark("two", n, (fill, at, *pair), enter)
 
     def _mark(self, kind: str, n: int, what: tuple, enter: bool) -> None:
         index, mask = getattr(self, kind), f"{kind}_mask"
         if enter:
-            index[n].add(what)
+            insort(index[n], what)
             setattr(self, mask, getattr(self, mask) | 1 << n)
         else:
-            index[n].discard(what)
+            own = index[n]
+            place = bisect_left(own, what)
+            assert own[place] == what
+            del own[place]
             if not index[n]:
                 setattr(self, mask, getattr(self, mask) & ~(1 << n))
 
@@ -174,11 +190,9 @@ class _Bins:
         index, mask = getattr(self, kind), getattr(self, f"{kind}_mask")
         mask &= (1 << (most + 1)) - 1
         while mask and (n := mask.bit_length() - 1) >= least:
-            for tries, what in enumerate(index[n]):
-                if what[0] != at and self.fill[what[0]] <= self.fill[at]:
+            for fill, *what in index[n][:2]:  # a bin has one entry of a length
+                if what[0] != at and fill <= self.fill[at]:
                     return n, what
-                if tries == 8:
-                    break
             mask &= ~(1 << n)
         return 0, None
 

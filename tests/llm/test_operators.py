@@ -259,6 +259,24 @@ def test_local_search_beats_best_fit():
     assert np.bincount(where, lengths).max() <= 1024
 
 
+def test_local_search_has_no_step_left():
+    rng = np.random.default_rng(3)
+    for low, high, n in ((5, 60, 400), (340, 360, 300), (1, 40, 500)):
+        bins = packing._Bins(1024)
+        bins.start(rng.integers(low, high, n))
+        bins.search()
+        own = [sorted(x.values()) for x in bins.items]
+        for a, fill in enumerate(bins.fill):
+            gap = 1024 - fill
+            for b, less in enumerate(bins.fill):
+                if a == b or not gap or not 0 < less <= fill:
+                    continue
+                one = set(own[b])
+                two = {x + y for i, x in enumerate(own[b]) for y in own[b][i + 1:]}
+                gains = {m for m in one} | {m - x for x in set(own[a]) for m in one | two}
+                assert not any(0 < gain <= gap for gain in gains)
+
+
 # ---------------------------------------------------------------- 9
 
 def test_kneser_ney(spark, odd, none):
