@@ -6,12 +6,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fieldops.llm import (hash_forest, html_mincut, kneser_ney, mixing, packing, quality_cnn, quality_rules,
-                          simhash_golay, substring_dedup, suffix_dedup)
+from fieldops.llm import (alignment, hash_forest, html_mincut, kneser_ney, mixing, online_packing, packing, quality_cnn,
+                          quality_rules, simhash_golay, substring_dedup, suffix_dedup, whitening)
 from fieldops.llm.common import table
 
-#: vocabulary file of the packing query, by name in the public tokenizers' package
+#: vocabulary file of the packing queries, by name in the public tokenizers' package
 TOKENIZER = "byte_bpe_50k.json"
+#: the second tokenizer of the alignment query
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -69,10 +71,23 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.remove_repeats(docs, kept=False).select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+def op11_online_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return online_packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECE_TOKENIZER))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_mixing, op2_quality_cnn, op3_hash_forest, op4_quality_rules, op5_simhash_golay, op6_suffix_dedup,
-        op7_html_mincut, op8_packing, op9_kneser_ney, op10_substring_dedup)}
+        op7_html_mincut, op8_packing, op9_kneser_ney, op10_substring_dedup, op11_online_packing, op12_whitening,
+        op13_alignment)}
 
 
 # ---------------------------------------------------------------- SQL for those that SQL can express
