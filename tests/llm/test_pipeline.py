@@ -25,7 +25,7 @@ def test_stages(spark):
     groups = {c for _, _, c in brute_components(docs.collect())}
     assert one.columns == names and sorted(str(r.doc_id) for r in one.collect()) == sorted(groups)
     cut = P.remove_passages(spark, docs, SF)
-    sizes = {i: n - g for (i, _), (n, g, _, _) in brute_bytes(docs.collect(), 400).items()}
+    sizes = {i: n - g for (i, _), (n, g, _, _) in brute_bytes(docs.collect(), P.PASSAGE_BYTES).items()}
     for r in cut.collect():
         assert 0 <= sizes[r.doc_id] - len(r.text.encode()) <= 40 and r.n_chars == len(r.text)
     mixed = P.mix_sources(spark, docs, SF)
