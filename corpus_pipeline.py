@@ -12,6 +12,10 @@ from pyspark.sql import functions as F
 from fieldops.llm import common, mixing, packing, quality_cnn, simhash_golay, suffix_dedup
 from fieldops.llm.queries import tokenizer_path
 
+#: repeated strings of so many bytes go from the texts: 50 words of five bytes with their blanks, so that
+#: passages of over 50 words are found whatever their words' lengths
+PASSAGE_BYTES = 250
+
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels of these documents, gives label 1."""
@@ -42,10 +46,10 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without strings of 400 bytes that start elsewhere too.
+    """Texts without strings of PASSAGE_BYTES bytes that start elsewhere too.
 
     A character that a cut divides goes with it.  A text that is all repeats stays as an empty one."""
-    cut = suffix_dedup.remove_repeats(docs, kept="string")
+    cut = suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, kept="string")
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
     return _with_text(cut.withColumn("text", text), docs)
 
