@@ -15,8 +15,9 @@ from fieldops.catalog import register
 from fieldops.catalog.fixtures import t
 from fieldops.functions.clean import cast_columns
 from fieldops.operators.history import backfill_leading_nulls, history_view, scd2_snapshot
-from fieldops.operators.upsert import changed_since, merge, scratch_dir
+from fieldops.operators.upsert import changed_since, merge, scratch_dir, upsert_table
 from fieldops.sources import as_view, latest_snapshot, read_seed, read_snapshots, read_text_table, with_audit, write_table
+from fieldops.sources.manifest import ManifestTable
 from fieldops.streaming import streams as st
 
 SEED_DIR = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "seeds")
@@ -130,8 +131,13 @@ def _e22_inputs(spark, d):
 
 @register("e22_incremental_upsert", sql=SQL_E22)
 def e22(spark, d):
+    """First load, then an upsert that rewrites the months it touches, in a manifest table."""
     target, batch = _e22_inputs(spark, d)
-    return merge(target, batch, ["o_orderkey"], ["updated_at"])
+    root = scratch_dir(spark, "e22")
+    month = F.date_format("updated_at", "yyyy-MM")
+    upsert_table(spark, root, target, ["o_orderkey"], ["updated_at"], month)
+    upsert_table(spark, root, batch, ["o_orderkey"], ["updated_at"], month)
+    return ManifestTable(spark, root).read()
 
 
 @register("e23_incremental_window", sql="""
@@ -278,9 +284,8 @@ qualify row_number() over (partition by user_id order by ts desc, event_id desc)
 def w01(spark, d):
     root = _drops(spark, d)
     out = scratch_dir(spark, "w01")
-    final = st.upsert_stream(spark, _stream(spark, root).select("event_id", "user_id", "ts", "event_type"),
-                             out, ["user_id"], ["ts", "event_id"])
-    return spark.read.parquet(final)
+    return st.upsert_stream(spark, _stream(spark, root).select("event_id", "user_id", "ts", "event_type"),
+                            out, ["user_id"], ["ts", "event_id"]).read()
 
 
 @register("w02_late_duplicate_dedupe", sql="select event_id, user_id, ts from events")
@@ -292,33 +297,38 @@ def w02(spark, d):
     return spark.read.parquet(out)
 
 
-@register("w03_tumbling_monday_weeks", sql="""
-select cast(date_trunc('week', ts) as timestamp) as window_start,
-       cast(date_trunc('week', ts) as timestamp) + interval 7 day as window_end, event_type,
-       count(*) as n_events, sum(cast(value as decimal(18,2))) as total_value
-from events group by 1, 2, 3""")
+# more than a drop's span, so that no event is late whatever the order of a drop's files
+DELAY_DAYS = 12
+
+
+@register("w03_tumbling_monday_weeks", sql=f"""
+with seen as (select max(ts) - interval {DELAY_DAYS} day as mark from events)
+select * from (
+  select cast(date_trunc('week', ts) as timestamp) as window_start,
+         cast(date_trunc('week', ts) as timestamp) + interval 7 day as window_end, event_type,
+         count(*) as n_events, sum(cast(value as decimal(18,2))) as total_value
+  from events group by 1, 2, 3), seen where window_end <= mark""".replace("select * from (", "select * exclude (mark) from ("))
 def w03(spark, d):
+    """Weeks that the watermark has closed."""
     root = _drops(spark, d)
     out = scratch_dir(spark, "w03")
-    agg = st.tumbling_counts(_stream(spark, root), "ts", "7 days", "4 days", ["event_type"], "value")
-    st.run_available(agg, lambda b, i: b.write.mode("overwrite").parquet(out), scratch_dir(spark, "ckpt-w03"),
-                     output_mode="complete")
-    return spark.read.parquet(out)
+    st.emit_closed(st.tumbling_counts(_stream(spark, root), "ts", "7 days", "4 days", ["event_type"], "value",
+                                      f"{DELAY_DAYS} days"), out)
+    return st.emitted(spark, out)
 
 
-@register("w04_session_episodes", sql="""
+@register("w04_session_episodes", sql=f"""
 with g as (select user_id, ts, case when lag(ts) over (partition by user_id order by ts) is null
              or ts - lag(ts) over (partition by user_id order by ts) > interval 2 hour then 1 else 0 end as brk from events),
 s as (select *, sum(brk) over (partition by user_id order by ts rows between unbounded preceding and current row) as sid from g)
 select user_id, min(ts) as session_start, max(ts) + interval 2 hour as session_end, count(*) as n_events
-from s group by user_id, sid""")
+from s group by user_id, sid having max(ts) + interval 2 hour <= (select max(ts) - interval {DELAY_DAYS} day from events)""")
 def w04(spark, d):
+    """Sessions that the watermark has closed."""
     root = _drops(spark, d)
     out = scratch_dir(spark, "w04")
-    agg = st.sessions(_stream(spark, root), "ts", "2 hours", ["user_id"], watermark="40 days")
-    st.run_available(agg, lambda b, i: b.write.mode("overwrite").parquet(out), scratch_dir(spark, "ckpt-w04"),
-                     output_mode="complete")
-    return spark.read.parquet(out)
+    st.emit_closed(st.sessions(_stream(spark, root), "ts", "2 hours", ["user_id"], f"{DELAY_DAYS} days"), out)
+    return st.emitted(spark, out)
 
 
 @register("w05_open_interval_state", sql="""
@@ -326,9 +336,4 @@ select user_id, ts as valid_from, event_id, lead(ts) over (partition by user_id
 from events""")
 def w05(spark, d):
     root = _drops(spark, d)
-    out = scratch_dir(spark, "w05")
-    last = st.interval_state_stream(spark, _stream(spark, root), "user_id", "ts", "event_id", out)
-    closed = spark.read.parquet(f"{out}/closed").select("user_id", "valid_from", "event_id", "valid_to")
-    open_ = spark.read.parquet(last).select("user_id", F.col("ts").alias("valid_from"), "event_id",
-                                            F.lit(None).cast("timestamp_ntz").alias("valid_to"))
-    return closed.unionByName(open_)
+    return st.interval_state_stream(spark, _stream(spark, root), "user_id", "ts", "event_id", scratch_dir(spark, "w05")).read()
