@@ -66,8 +66,8 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
     """Day table with a running count of business days (Mon–Fri, not a holiday).
 
     Built by rule; one row per day, so its size is fixed by the year range (≤ 366 × years) and it
-    is safe to broadcast.  ``cum_bd`` turns "business days in [a, b]" into two lookups instead of
-    exploding every interval into days.
+    is safe to broadcast, or to stand in an expression (operators/business_time.py).  ``cum_bd`` turns
+    "business days in [a, b]" into two lookups instead of exploding every interval into days.
     """
     hol = set(holiday_dates) if holiday_dates is not None else {
         r[2] for r in holiday_rows(range(first_year, last_year + 1))}
@@ -82,7 +82,9 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
         rows.append((d, bd, cum, cum_sec))
         d += dt.timedelta(days=1)
     # cum_sec = Σ epoch seconds of the business-day midnights up to the day (for 24-hour clocks)
-    return spark.createDataFrame(rows, "day date, is_business_day boolean, cum_bd long, cum_sec long")
+    df = spark.createDataFrame(rows, "day date, is_business_day boolean, cum_bd long, cum_sec long")
+    df.counters = [(r[0], r[2], r[3]) for r in rows]  # for the clocks, which hold them as constants
+    return df
 
 
 def iso_week_label(c) -> Column:

@@ -102,21 +102,71 @@ def bucketed_running(df: DataFrame, key: Sequence[str], order: Sequence[str], bu
     return out.drop(*drop)
 
 
+def bucketed_neighbours(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column, leads: dict[str, str] | None = None,
+                        position: str | None = None) -> DataFrame:
+    """``lead`` of several columns (output name → column) and the running row number of a key, exact, in one window pass
+    per (key, bucket) and one join with a table of one row per bucket.
+
+    The bucket's row holds its count and its first row's values, so both come from the same partial aggregate."""
+    leads = leads or {}
+    b = df.withColumn("_bkt", bucket)
+    ordcols = [F.col(c) for c in order]
+    w, wb = Window.partitionBy(*key, "_bkt").orderBy(*ordcols), Window.partitionBy(*key).orderBy("_bkt")
+    per = b.groupBy(*key, "_bkt").agg(F.count(F.lit(1)).alias("_n"), F.min_by(F.struct(*[F.col(c).alias(o) for o, c in leads.items()], F.lit(0)),
+                                                                           F.struct(*ordcols)).alias("_first"))
+    edge = per.select(*key, "_bkt", F.coalesce(F.sum("_n").over(wb.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+                      F.lead("_first").over(wb).alias("_next"))
+    out = b.withColumn("_pos", F.row_number().over(w)).withColumn("_last", F.lead(F.lit(1)).over(w).isNull())
+    for o, c in leads.items():
+        out = out.withColumn(o, F.lead(c).over(w))
+    out = null_safe_join(out, edge, [*key, "_bkt"], "left")
+    for o in leads:
+        out = out.withColumn(o, F.when(F.col("_last"), F.col(f"_next.{o}")).otherwise(F.col(o)))
+    if position:
+        out = out.withColumn(position, F.col("_before") + F.col("_pos"))
+    return out.drop("_bkt", "_pos", "_last", "_before", "_next")
+
+
 def episodes_bucketed(df: DataFrame, key: Sequence[str], order: Sequence[str], day_col: str, gap_days: int,
                       bucket: Column) -> DataFrame:
     """F15 / K24 at scale — same columns as ``episodes`` (gap_days, is_new_episode, episode_no,
-    episode_rank) plus ``episode_size``, with no window wider than one (key, bucket):
-    gap from ``bucketed_lag``; episode number, row position and position of the episode start as
-    bucketed running sums / maxes; size as an aggregate per (key, episode)."""
-    x = bucketed_lag(df, key, order, [day_col], bucket, prefix="_prev_")
-    gap = F.datediff(F.col(day_col), F.col(f"_prev_{day_col}"))
-    x = (x.withColumn("gap_days", gap)
-          .withColumn("is_new_episode", F.col("gap_days").isNull() | (F.col("gap_days") > gap_days))
-          .drop(f"_prev_{day_col}"))
-    x = bucketed_running(x, key, order, bucket, sums={"episode_no": F.col("is_new_episode").cast("long"),
-                                                     "_pos": F.lit(1).cast("long")})
-    x = bucketed_running(x, key, order, bucket,
-                         maxes={"_start": F.when(F.col("is_new_episode"), F.col("_pos"))})
-    x = x.withColumn("episode_rank", (F.col("_pos") - F.col("_start") + 1).cast("int")).drop("_pos", "_start")
+    episode_rank) plus ``episode_size``, with no window wider than one (key, bucket).
+
+    One window pass finds gaps, starts and positions inside a bucket.  Only a bucket's first row depends on
+    the bucket before; that, and how many rows and episodes precede, comes from a table of one row per bucket:
+    its first and last day, its rows, its inner starts and the place of the last of them."""
+    b = df.withColumn("_bkt", bucket)
+    w = Window.partitionBy(*key, "_bkt").orderBy(*[F.col(c) for c in order])
+    run = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def passed(rows: DataFrame) -> DataFrame:
+        x = rows.withColumn("_pos", F.row_number().over(w)).withColumn("gap_days", F.datediff(F.col(day_col), F.lag(day_col).over(w)))
+        # inside a bucket only: its first row is settled later
+        x = x.withColumn("_inner", F.when(F.col("_pos") > 1, F.coalesce(F.col("gap_days") > gap_days, F.lit(True))).otherwise(F.lit(False)))
+        return (x.withColumn("_starts", F.sum(F.col("_inner").cast("long")).over(run))
+                 .withColumn("_start", F.max(F.when(F.col("_inner"), F.col("_pos"))).over(run)))
+
+    slim = list(dict.fromkeys([*key, "_bkt", *order, day_col]))
+    per = passed(b.select(*slim)).groupBy(*key, "_bkt").agg(
+        F.count(F.lit(1)).alias("_n"), F.max("_starts").alias("_s"), F.max("_start").alias("_p"),
+        F.min_by(F.col(day_col), "_pos").alias("_f"), F.max_by(F.struct(F.col(day_col).alias("d")), F.col("_pos"))["d"].alias("_l"))
+    wb = Window.partitionBy(*key).orderBy("_bkt")
+    before = wb.rowsBetween(Window.unboundedPreceding, -1)
+    per = per.withColumn("_gap", F.datediff(F.col("_f"), F.lag("_l").over(wb)))
+    per = per.withColumn("_new", F.coalesce(F.col("_gap") > gap_days, F.lit(True)))
+    per = per.withColumn("_rows", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    # global place of the last start of a bucket, if it has one
+    per = per.withColumn("_place", F.col("_rows") + F.coalesce(F.col("_p"), F.when(F.col("_new"), F.lit(1))))
+    edge = per.select(*key, "_bkt", F.col("_gap").alias("_e_gap"), F.col("_new").alias("_e_new"), F.col("_rows").alias("_e_rows"),
+                      F.coalesce(F.sum(F.col("_s") + F.col("_new").cast("long")).over(before), F.lit(0)).alias("_e_no"),
+                      F.max("_place").over(before).alias("_e_place"))
+    x = null_safe_join(passed(b), edge, [*key, "_bkt"], "left")
+    head = F.col("_pos") == 1
+    own = F.when(F.col("_start").isNotNull(), F.col("_e_rows") + F.col("_start")).when(F.col("_e_new"), F.col("_e_rows") + 1)
+    x = (x.withColumn("gap_days", F.when(head, F.col("_e_gap")).otherwise(F.col("gap_days")))
+          .withColumn("is_new_episode", F.when(head, F.col("_e_new")).otherwise(F.col("_inner")))
+          .withColumn("episode_no", F.col("_e_no") + F.col("_e_new").cast("long") + F.col("_starts"))
+          .withColumn("episode_rank", (F.col("_e_rows") + F.col("_pos") - F.coalesce(own, F.col("_e_place")) + 1).cast("int"))
+          .drop("_bkt", "_pos", "_inner", "_starts", "_start", "_e_gap", "_e_new", "_e_rows", "_e_no", "_e_place"))
     size = x.groupBy(*key, "episode_no").agg(F.count(F.lit(1)).alias("episode_size"))
     return null_safe_join(x, size, [*key, "episode_no"], "inner")

@@ -5,6 +5,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldops.operators.business_time import business_minutes
+from fieldops.operators.windows import bucketed_neighbours
 
 TZ = "Europe/Paris"
 
@@ -38,13 +39,11 @@ def lifecycle_segments(events: DataFrame, cal: DataFrame) -> DataFrame:
     """K39 — status intervals per ticket (lead → end; the open last segment has NULL durations),
     with calendar minutes and business minutes (Mon–Fri 09:00–17:30 Paris, holidays excluded).
 
-    Events of one instant follow their id.  Order and successor are found per ticket and month, so a
+    Events of one instant follow their id.  Order and successor are found per ticket and day, so a
     ticket with very many events is split."""
-    from fieldops.operators.windows import bucketed_lag, bucketed_running
     ev = events.where(F.col("event_name").isin("TicketCreated", "TicketUpdated"))
-    order, month = ["event_at", "event_id"], F.trunc(F.col("event_at").cast("date"), "MM")
-    x = bucketed_lag(ev, ["ticket_id"], order, ["event_at"], month, offset_direction="lead", prefix="next_")
-    x = bucketed_running(x, ["ticket_id"], order, month, sums={"segment_idx": F.lit(1)})
+    x = bucketed_neighbours(ev, ["ticket_id"], ["event_at", "event_id"], F.col("event_at").cast("date"),
+                            leads={"next_event_at": "event_at"}, position="segment_idx")
     s = x.select("ticket_id", F.col("segment_idx").cast("int").alias("segment_idx"),
                  F.col("event_at").alias("segment_start_at"),
                  F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("segment_start_date_paris"),
@@ -82,7 +81,6 @@ def ticket_sla(tickets: DataFrame, threads: DataFrame, events: DataFrame, segmen
         F.sum(F.when(F.col("status_type") == "On Hold", F.col("duration_minutes_business")).otherwise(0)).alias("_hb"))
     x = (tickets.select("ticket_id", "created_time").join(th, "ticket_id", "left").join(cl, "ticket_id", "left")
          .join(seg, "ticket_id", "left"))
-    # three clocks share the calendar lookups (no explode, so no long-format round trip needed)
     for end, out in (("first_agent_response_at", "first_response_minutes_business"),
                      ("first_close_at", "resolution_minutes_first_close_business"),
                      ("last_close_at", "resolution_minutes_last_close_business")):
