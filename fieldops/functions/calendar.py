@@ -61,6 +61,10 @@ def holidays(spark: SparkSession, years: Iterable[int]) -> DataFrame:
     return spark.createDataFrame(holiday_rows(years), HOLIDAY_SCHEMA)
 
 
+#: calendars made in this session, by years and holidays
+_CALENDARS: dict[tuple, DataFrame] = {}
+
+
 def business_calendar(spark: SparkSession, first_year: int, last_year: int,
                       holiday_dates: Iterable[dt.date] | None = None) -> DataFrame:
     """Day table with a running count of business days (Mon–Fri, not a holiday).
@@ -69,8 +73,11 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
     is safe to broadcast, or to stand in an expression (operators/business_time.py).  ``cum_bd`` turns
     "business days in [a, b]" into two lookups instead of exploding every interval into days.
     """
-    hol = set(holiday_dates) if holiday_dates is not None else {
-        r[2] for r in holiday_rows(range(first_year, last_year + 1))}
+    hol = frozenset(holiday_dates) if holiday_dates is not None else frozenset(
+        r[2] for r in holiday_rows(range(first_year, last_year + 1)))
+    made = (spark.sparkContext.applicationId, first_year, last_year, hol)
+    if made in _CALENDARS:
+        return _CALENDARS[made]
     d = dt.date(first_year, 1, 1) - dt.timedelta(days=1)  # spans from the first day look one day back
     end = dt.date(last_year, 12, 31)
     epoch = dt.date(1970, 1, 1)
@@ -84,6 +91,7 @@ def business_calendar(spark: SparkSession, first_year: int, last_year: int,
     # cum_sec = Σ epoch seconds of the business-day midnights up to the day (for 24-hour clocks)
     df = spark.createDataFrame(rows, "day date, is_business_day boolean, cum_bd long, cum_sec long")
     df.counters = [(r[0], r[2], r[3]) for r in rows]  # for the clocks, which hold them as constants
+    _CALENDARS[made] = df
     return df
 
 

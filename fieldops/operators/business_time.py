@@ -87,9 +87,9 @@ def business_minutes(df: DataFrame, start: str, end: str, cal: DataFrame,
     span = (close_at[0] * 60 + close_at[1]) - (open_at[0] * 60 + open_at[1])
 
     c = Counters(cal)
-    x = (df.withColumn("_s", s).withColumn("_e", e).withColumn("_d1", d1).withColumn("_d2", d2))
-    x = (x.withColumn("_c0_cum", c.days(F.date_sub(F.col("_d1"), 1))).withColumn("_c1_cum", c.days(F.col("_d1")))
-          .withColumn("_c2_cum", c.days(F.col("_d2"))).withColumn("_c3_cum", c.days(F.date_sub(F.col("_d2"), 1))))
+    x = df.withColumns({"_s": s, "_e": e, "_d1": d1, "_d2": d2})
+    x = x.withColumns({"_c0_cum": c.days(F.date_sub(F.col("_d1"), 1)), "_c1_cum": c.days(F.col("_d1")),
+                       "_c2_cum": c.days(F.col("_d2")), "_c3_cum": c.days(F.date_sub(F.col("_d2"), 1))})
 
     def part(day: Column, bd: Column) -> Column:
         lo = F.greatest(_local_instant(day, open_at, tz), F.col("_s"))

@@ -163,10 +163,10 @@ def episodes_bucketed(df: DataFrame, key: Sequence[str], order: Sequence[str], d
     x = null_safe_join(passed(b), edge, [*key, "_bkt"], "left")
     head = F.col("_pos") == 1
     own = F.when(F.col("_start").isNotNull(), F.col("_e_rows") + F.col("_start")).when(F.col("_e_new"), F.col("_e_rows") + 1)
-    x = (x.withColumn("gap_days", F.when(head, F.col("_e_gap")).otherwise(F.col("gap_days")))
-          .withColumn("is_new_episode", F.when(head, F.col("_e_new")).otherwise(F.col("_inner")))
-          .withColumn("episode_no", F.col("_e_no") + F.col("_e_new").cast("long") + F.col("_starts"))
-          .withColumn("episode_rank", (F.col("_e_rows") + F.col("_pos") - F.coalesce(own, F.col("_e_place")) + 1).cast("int"))
+    x = (x.withColumns({"gap_days": F.when(head, F.col("_e_gap")).otherwise(F.col("gap_days")),
+                        "is_new_episode": F.when(head, F.col("_e_new")).otherwise(F.col("_inner")),
+                        "episode_no": F.col("_e_no") + F.col("_e_new").cast("long") + F.col("_starts"),
+                        "episode_rank": (F.col("_e_rows") + F.col("_pos") - F.coalesce(own, F.col("_e_place")) + 1).cast("int")})
           .drop("_bkt", "_pos", "_inner", "_starts", "_start", "_e_gap", "_e_new", "_e_rows", "_e_no", "_e_place"))
     size = x.groupBy(*key, "episode_no").agg(F.count(F.lit(1)).alias("episode_size"))
     return null_safe_join(x, size, [*key, "episode_no"], "inner")

@@ -266,3 +266,28 @@ def test_large_partition_value_spans_files(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(list((tmp_path / "w" / "p=0").glob("*.parquet"))) > 1
+
+
+def test_bucketed_passes_on_random_rows(spark):
+    """One-pass episodes and neighbours against plain key-wide windows: ties, NULL keys, single rows, sparse buckets."""
+    import random
+
+    from pyspark.sql import Window
+    from fieldops.operators.windows import bucketed_neighbours, episodes, episodes_bucketed
+    rng = random.Random(4)
+    rows = [(rng.choice([1, 2, 3, None]), i, dt.date(2024, 1, 1) + dt.timedelta(days=int(rng.expovariate(1 / 60)))) for i in range(400)]
+    rows += [(9, 999, dt.date(2024, 5, 5))]
+    df = spark.createDataFrame(rows, "k int, id int, d date").repartition(3)
+    names = ["gap_days", "is_new_episode", "episode_no", "episode_rank"]
+    for gap in (0, 2, 10):
+        plain = {r.id: [r[c] for c in names] for r in episodes(df, ["k"], [F.col("d"), F.col("id")], "d", gap).collect()}
+        for bucket in (F.trunc("d", "week"), F.trunc("d", "month"), F.col("d")):
+            got = episodes_bucketed(df, ["k"], ["d", "id"], "d", gap, bucket).collect()
+            assert {r.id: [r[c] for c in names] for r in got} == plain
+            sizes = {(r.k, r.episode_no): r.episode_size for r in got}
+            assert all(sum(1 for r in got if (r.k, r.episode_no) == e) == n for e, n in sizes.items())
+    w = Window.partitionBy("k").orderBy("d", "id")
+    want = {r.id: (r.nd, r.ni, r.n) for r in df.select("id", F.lead("d").over(w).alias("nd"), F.lead("id").over(w).alias("ni"),
+                                                       F.row_number().over(w).alias("n")).collect()}
+    out = bucketed_neighbours(df, ["k"], ["d", "id"], F.trunc("d", "week"), {"nd": "d", "ni": "id"}, "n")
+    assert {r.id: (r.nd, r.ni, r.n) for r in out.collect()} == want
