@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from fieldops.catalog import register
 from fieldops.catalog.fixtures import t
+from fieldops.catalog.ledger_q import FAMILIES as LABEL_FAMILIES, LABELS, _rows
 from fieldops.plans import dims
 
 FAMILIES = {"REGION": "region", "SECTEUR": "sector", "ISACTIVE": "is_active", "KA": "key_account"}
@@ -91,8 +92,8 @@ left join supplier m on m.s_suppkey = s.s_suppkey % 10""")
 def k04b(spark, d):
     s, n, r = t(spark, d, "supplier"), t(spark, d, "nation"), t(spark, d, "region")
     m = s.select(F.col("s_suppkey").alias("manager_id"), F.col("s_name").alias("manager_name"))
-    return (s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey, "left")
-            .join(F.broadcast(r), n.n_regionkey == r.r_regionkey, "left")
+    return (s.join(n, s.s_nationkey == n.n_nationkey, "left")
+            .join(r, n.n_regionkey == r.r_regionkey, "left")
             .join(m, (s.s_suppkey % 10) == m.manager_id, "left")
             .select(F.col("s_suppkey").alias("technician_id"), F.col("s_name").alias("technician_name"),
                     F.col("n_name").alias("nation"), F.col("r_name").alias("region"), "manager_id", "manager_name"))
@@ -142,7 +143,7 @@ select c.c_custkey as third, c.c_name as third_name, c.c_mktsegment as secteur,
 from customer c join nation n on c.c_nationkey = n.n_nationkey left join latest l on c.c_custkey = l.third""")
 def k04c(spark, d):
     c, n, o, l = (t(spark, d, x) for x in ("customer", "nation", "orders", "lineitem"))
-    clients = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+    clients = c.join(n, c.c_nationkey == n.n_nationkey).select(
         F.col("c_custkey").alias("third"), F.col("c_name").alias("third_name"), F.col("c_mktsegment").alias("secteur"),
         F.col("n_name").alias("region"), F.concat(F.lit("CAT"), (F.col("c_nationkey") % 3).cast("string")).alias("categorie"))
     s1 = o.select(F.when(F.col("o_orderkey") % 13 == 0, F.lit(None)).otherwise(F.concat(F.lit("FR_"), F.col("o_custkey").cast("string")))
@@ -167,3 +168,107 @@ def k04d(spark, d):
                  F.when(F.col("o_orderkey") % 11 == 0, F.lit(None)).otherwise(F.col("o_orderpriority")).alias("code_analytique"),
                  F.col("o_orderdate").alias("effective_date"), F.col("o_orderkey").alias("contract_id"))
     return dims.vehicle_cost_codes(v)
+
+
+# ---------------------------------------------------------------- one function, five dimensions
+# columns (label families are those of the task ledger's fixture), defaults, flags, types and the tables they read
+DIMENSIONS = {
+    "company": dict(
+        table="customer", key="c_custkey", name="c_name", types=("type_id", (1, 2, 4)), located=True,
+        columns={"region": "SALE_SOURCE", "status": "SEND_CAUSE", "sector": "MISSION", "kind": "CALL_CATEGORY"}, defaults={"sector": "none"},
+        flags={"is_active": [("status", "yes", "send_cause_1")], "is_depot": [("type_id", "is", 4)],
+               "is_client": [("code", "like", "E__1"), ("kind", "is", "CALL_CATEGORY_2")]}),
+    "device": dict(
+        table="customer", key="c_custkey", name="c_mktsegment", types=None, located=True,
+        columns={"model": "VISIT_STATE", "owner": "CANCEL_REASON"}, defaults={"owner": "own"},
+        flags={"is_active": [("model", "is", "VISIT_STATE_0"), ("model", "is", "VISIT_STATE_3")]}),
+    "resource": dict(
+        table="supplier", key="s_suppkey", name="s_name", types=("type_id", (2, 3)), located=False,
+        columns={"team": "DAY", "zone": "MISSION"}, defaults={}, flags={"is_person": [("type_id", "is", 2)], "is_vehicle": [("type_id", "is", 3)]}),
+    "product": dict(
+        table="part", key="p_partkey", name="p_name", types=None, located=False,
+        columns={"family": "SALE_SOURCE", "brand": "LOAD", "season": "DAY"}, defaults={"family": "undefined", "brand": "undefined"},
+        flags={"is_sold": [("family", "like", "SALE%")], "is_bio": [("code", "like", "%7"), ("season", "is", "START_DAY")]}),
+    "contract": dict(
+        table="orders", key="o_orderkey", name="o_orderpriority", types=("type_id", (0, 1, 5)), located=False,
+        columns={"engagement": "DELIVERY_STATE", "billing": "CALL_CATEGORY"}, defaults={"billing": "monthly"},
+        flags={"is_firm": [("engagement", "is", "DELIVERED")]}),
+}
+
+
+def _dimension(kind):
+    r = DIMENSIONS[kind]
+    links = (f"(select id, unnest([((id * 7 + j * 3) % 10) * 10 + (id + j) % 4 for j in range(0, id % 4)]) as idlabel from ent)")
+    pick = [f"(select max(l.code) from lk join label l using (idlabel) where lk.id = ent.id and l.fam = {LABEL_FAMILIES.index(f)})" for f in r["columns"].values()]
+    how = {"is": lambda c, v: f"{c} = {v!r}", "yes": lambda c, v: f"lower({c}) = {v!r}", "like": lambda c, v: f"{c} like {v!r}"}
+    flags = [f"coalesce({' or '.join(f'coalesce({how[h](c, v)}, false)' for c, h, v in rule)}, false) as {name}" for name, rule in r["flags"].items()]
+    cols = [f"coalesce({e}, '{r['defaults'][c]}') as {c}" if c in r["defaults"] else f"{e} as {c}" for c, e in zip(r["columns"], pick)]
+    where = f"where type_id in {tuple(r['types'][1])}" if r["types"] else ""
+    place = (", if(id % 4 = 0, null, n_nationkey) as idlocation, if(id % 4 = 0, null, n_name) as city" if r["located"] else "")
+    join = "left join nation on n_nationkey = id % 25" if r["located"] else ""
+    sql = f"""with ent as (select {r['key']} as id, {r['name']} as name, 'E' || {r['key']} as code, {r['key']} % 6 as type_id from {r['table']}),
+label as (select * from (values {_rows(LABELS)}) v(idlabel, fam, code)), lk as {links},
+d as (select ent.*, {', '.join(cols)}{place} from ent {join} {where})
+select *, {', '.join(flags)}, code || ' - ' || name as label from d"""
+
+    @register(f"k01_{kind}_dimension", sql=sql)
+    def query(spark, d):
+        key = F.col(r["key"])
+        ents = t(spark, d, r["table"]).select(key.alias("id"), F.col(r["name"]).alias("name"), F.concat(F.lit("E"), key.cast("string")).alias("code"),
+                                              (key % 6).alias("type_id"))
+        i, j = F.col("id"), F.col("j")
+        links = (ents.where("id % 4 > 0").select("id", F.explode(F.sequence(F.lit(0), (i % 4 - 1).cast("int"))).alias("j"))
+                 .select("id", (((i * 7 + j * 3) % 10) * 10 + (i + j) % 4).alias("idlabel")))
+        labels = spark.createDataFrame(LABELS, "idlabel int, idlabel_family int, code string")
+        families = spark.createDataFrame(list(enumerate(LABEL_FAMILIES)), "idlabel_family int, code string")
+        places = None
+        if r["located"]:  # several places of either type each
+            n = t(spark, d, "nation").select(F.col("n_nationkey").cast("long").alias("idlocation"), F.col("n_name").alias("city"))
+            at = ents.select("id", F.explode(F.array(i % 25, i % 25 + 25, i % 25)).alias("idlocation"),
+                             F.when(i % 4 == 0, 2).otherwise(1).alias("idlocation_type"))
+            places = (at, n)
+        return dims.dimension(ents, "id", links, labels, families, r["columns"], r["defaults"], r["flags"], r["types"], places,
+                              label_column=("code", "name"))
+
+
+for _kind in DIMENSIONS:
+    _dimension(_kind)
+
+
+@register("k02b_product_purchase_unit", sql="""
+select p_partkey as product_id, p_name as product_name,
+  (select max(l_linenumber * 6) from lineitem where l_partkey = p_partkey and l_linenumber % 2 = 1 and l_suppkey % 3 > 0) as purchase_unit_coeff,
+  (select max('U' || l_suppkey) from lineitem where l_partkey = p_partkey and l_linenumber % 2 = 1 and l_suppkey % 3 > 0) as purchase_unit_code
+from part""")
+def k02b(spark, d):
+    l, p = t(spark, d, "lineitem"), t(spark, d, "part")
+    units = l.select(F.col("l_partkey").alias("idproduct"), F.when(F.col("l_linenumber") % 2 == 1, 1).otherwise(2).alias("idunit_type"),
+                     (F.col("l_suppkey") % 3 > 0).cast("int").alias("isactive"), (F.col("l_linenumber") * 6).alias("coeff_multi"),
+                     F.concat(F.lit("U"), F.col("l_suppkey").cast("string")).alias("code"))
+    return (p.select(F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"))
+            .join(dims.purchase_units(units).withColumnRenamed("idproduct", "product_id"), "product_id", "left"))
+
+
+@register("k04e_installed_base", sql="""
+select o_orderkey as material_id, o_orderpriority as material_name, 'B' || o_orderkey % 7 as material_brand, 'SN' || o_orderkey as material_serial_number,
+  r_name as category_name, o_orderdate as material_in_service_date, o_orderstatus <> 'P' as material_is_active, n_nationkey as client_id,
+  if(n_nationkey is null, null, 'C' || n_nationkey) as client_code, n_name || ' street' as client_address, n_name as client_name,
+  if(n_nationkey is null, null, 'partner ' || n_nationkey % 3) as partner_name, if(o_orderkey % 23 = 0, null, o_custkey) as site_id,
+  c_name || ' road' as site_address, c_name as site_name, if(c_custkey is null, null, lpad(c_custkey::varchar, 5, '0')) as site_postal_code
+from orders left join customer on c_custkey = o_custkey and o_orderkey % 23 <> 0
+left join nation on n_nationkey = c_nationkey and n_nationkey < 20 left join region on r_regionkey = o_orderkey % 6""")
+def k04e(spark, d):
+    o, c, n, r = (t(spark, d, x) for x in ("orders", "customer", "nation", "region"))
+    k = F.col("o_orderkey")
+    materials = o.select(k.alias("material_id"), F.col("o_orderpriority").alias("material_name"),
+                         F.concat(F.lit("B"), (k % 7).cast("string")).alias("material_brand"),
+                         F.concat(F.lit("SN"), k.cast("string")).alias("material_serial_number"), F.col("o_orderdate").alias("material_in_service_date"),
+                         (F.col("o_orderstatus") != "P").alias("material_is_active"), F.when(k % 23 != 0, F.col("o_custkey")).alias("site_id"),
+                         (k % 6).alias("category_id"))
+    ck, nk = F.col("c_custkey"), F.col("n_nationkey")
+    sites = c.select(ck.alias("site_id"), F.when(F.col("c_nationkey") < 20, F.col("c_nationkey")).alias("client_id"), F.col("c_name").alias("site_name"),
+                     F.concat("c_name", F.lit(" road")).alias("site_address"), F.lpad(ck.cast("string"), 5, "0").alias("site_postal_code"))
+    clients = n.select(nk.alias("client_id"), F.concat(F.lit("C"), nk.cast("string")).alias("client_code"), F.col("n_name").alias("client_name"),
+                       F.concat("n_name", F.lit(" street")).alias("client_address"),
+                       F.concat(F.lit("partner "), (nk % 3).cast("string")).alias("partner_name"))
+    return dims.installed_base(materials, sites, clients, r.select(F.col("r_regionkey").alias("category_id"), F.col("r_name").alias("category_name")))

@@ -303,7 +303,7 @@ def d15(spark, d):
     x = l.select(*LKEY, F.when(odd, "PART").otherwise("SUPP").alias("ref_type"),
                  F.when(odd, F.col("l_partkey")).otherwise(F.col("l_suppkey")).alias("ref_id"))
     j = (x.join(p, (x.ref_type == "PART") & (x.ref_id == p.p_partkey), "left")
-          .join(F.broadcast(s), (x.ref_type == "SUPP") & (x.ref_id == s.s_suppkey), "left"))
+          .join(s, (x.ref_type == "SUPP") & (x.ref_id == s.s_suppkey), "left"))
     return j.select(*[x[c] for c in LKEY], "ref_type",
                     F.when(x.ref_type == "PART", p.p_name).when(x.ref_type == "SUPP", s.s_name).alias("ref_name"))
 

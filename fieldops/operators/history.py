@@ -60,21 +60,21 @@ def scd2_snapshot(history: DataFrame | None, current: DataFrame, keys: Sequence[
 
     closed = history.where(F.col("dbt_valid_to").isNotNull())
     open_ = history.where(F.col("dbt_valid_to").isNull())
-    h = open_.select(*[F.col(c).alias(f"_h_{c}") for c in open_.columns])
-    c = current.select(*[F.col(x).alias(f"_c_{x}") for x in current.columns])
-    j = h.join(c, [h[f"_h_{k}"] == c[f"_c_{k}"] for k in keys], "full")
-    in_h = F.col(f"_h_{keys[0]}").isNotNull()
-    in_c = F.col(f"_c_{keys[0]}").isNotNull()
+    h = open_.select(*[F.col(c).alias(f"_h_{c}") for c in open_.columns], F.lit(True).alias("_in_h"))
+    c = current.select(*[F.col(x).alias(f"_c_{x}") for x in current.columns], F.lit(True).alias("_in_c"))
+    # NULL parts of a composite key are values like others
+    j = h.join(c, [h[f"_h_{k}"].eqNullSafe(c[f"_c_{k}"]) for k in keys], "full")
+    in_h, in_c = F.col("_in_h").isNotNull(), F.col("_in_c").isNotNull()
     if strategy == "timestamp":
         changed = F.col(f"_c_{updated_at}") > F.col(f"_h_{updated_at}")
         new_start = F.col(f"_c_{updated_at}").cast("timestamp_ntz")
     else:
         changed = _changed(tracked)
         new_start = now_c
-    # open versions: unchanged stay open; changed (and deleted, when asked) are closed
-    close_now = (in_h & in_c & changed) | (in_h & ~in_c & F.lit(invalidate_hard_deletes))
+    # open versions: unchanged stay open; changed ones end where the new one starts, deleted ones (when asked) now
+    gone = in_h & ~in_c & F.lit(invalidate_hard_deletes)
     kept = j.where(in_h).select(*[F.col(f"_h_{x}").alias(x) for x in open_.columns if x != "dbt_valid_to"],
-                                F.when(close_now, new_start if strategy == "timestamp" else now_c)
+                                F.when(gone, now_c).when(in_c & changed, new_start)
                                  .otherwise(F.col("_h_dbt_valid_to")).alias("dbt_valid_to"))
     fresh = j.where(in_c & (~in_h | changed)).select(*[F.col(f"_c_{x}").alias(x) for x in current.columns],
                                                     new_start.alias("_vf"))
@@ -83,6 +83,30 @@ def scd2_snapshot(history: DataFrame | None, current: DataFrame, keys: Sequence[
     return closed.select(*cols).unionByName(kept.select(*cols)).unionByName(new.select(*cols))
 
 
+def frozen_periods(history: DataFrame | None, current: DataFrame, keys: Sequence[str], now: dt.datetime,
+                   period: str = "month", revise: bool = True) -> DataFrame:
+    """E27 — next state of a history of period values: composite key (``period_start``, keys), closed periods never change.
+
+    Each run writes the current values under the period of ``now``.  Rows of earlier periods are absent from them, so the
+    first run of a later period closes their open versions, and no run touches them again.  Within a period a later run
+    revises: a changed row gets a new version, a row that has gone is closed.  ``revise=False``: the first value of
+    a period stands (the snapshot's timestamp strategy), only new keys are added and lost ones closed."""
+    start = F.date_trunc(period, _ts(now)).cast("date")
+    state = current.select(start.alias("period_start"), *current.columns)
+    key = ["period_start", *keys]
+    if revise:
+        return scd2_snapshot(history, state, key, now, invalidate_hard_deletes=True)
+    stamped = state.withColumn("period_updated_at", F.col("period_start").cast("timestamp_ntz"))
+    return scd2_snapshot(history, stamped, key, now, strategy="timestamp", updated_at="period_updated_at", invalidate_hard_deletes=True)
+
+
+def period_values(history: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The final value of each period and key: its last version, as a partial aggregate."""
+    data = [c for c in history.columns if c not in (*keys, "period_start", *META)]
+    g = history.groupBy("period_start", *keys).agg(F.max_by(F.struct(*data), F.col("dbt_valid_from")).alias("_v"))
+    return g.select("period_start", *keys, *[F.col(f"_v.{c}").alias(c) for c in data])
+
+
 def history_view(history: DataFrame, keys: Sequence[str]) -> DataFrame:
     """E29 — half-open validity [from, to): first version floored, open end 9999-12-31, is_current."""
     w = Window.partitionBy(*keys)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from fieldops.operators.aggs import pivot_labels
 from fieldops.operators.history import backfill_leading_nulls, history_view
+from fieldops.operators.ledger import task_labels
 from fieldops.operators.windows import top1
 
 
@@ -33,6 +34,64 @@ def label_dimension(entities: DataFrame, links: DataFrame, labels: DataFrame, fa
     return out
 
 
+def flag(rule: Sequence[tuple[str, str, object]]) -> Column:
+    """A boolean from a list of conditions, any of which suffices: (column, how, value), how being ``is`` (exactly), ``yes`` (the
+    value in any case) or ``like``.  NULL is False."""
+    out = F.lit(False)
+    for column, how, value in rule:
+        c = F.col(column)
+        one = {"is": lambda: c == F.lit(value), "yes": lambda: F.lower(c) == str(value).lower(), "like": lambda: c.like(value)}[how]()
+        out = out | F.coalesce(one, F.lit(False))
+    return out
+
+
+def dimension(entities: DataFrame, key: str, links: DataFrame, labels: DataFrame, families: DataFrame, columns: Mapping[str, str],
+              defaults: Mapping[str, str] | None = None, flags: Mapping[str, Sequence[tuple[str, str, object]]] | None = None,
+              types: tuple[str, Sequence[int]] | None = None, locations: tuple[DataFrame, DataFrame] | None = None,
+              location_type: int = 1, label_column: tuple[str, str] | None = None) -> DataFrame:
+    """K01 — any labelled entity as a dimension, from rules: one row per entity, whatever the number of its labels.
+
+    entities: key, code, name …;  links: key, idlabel;  labels: idlabel, idlabel_family, code;  families: idlabel_family, code
+    columns: output column → family code (of several labels of a family the greatest code); defaults: output column →
+    value where the entity has none;  flags: output column → conditions on any column, see ``flag``;
+    types: (column, values) that an entity must have;  locations: (links: key, idlocation, idlocation_type;  table: idlocation …),
+    the least location of ``location_type`` counts;  label_column: (code column, name column) → ``label`` 'code - name'.
+    Labels are reduced to the entity by the task ledger's bridge, which reads only the wanted families."""
+    if types:
+        entities = entities.where(F.col(types[0]).isin(*types[1]))
+    pivot = task_labels(links.withColumnRenamed(key, "idtask"), labels, families, columns).withColumnRenamed("idtask", key)
+    out = entities.join(pivot, key, "left")
+    if defaults:
+        out = out.withColumns({c: F.coalesce(F.col(c), F.lit(v)) for c, v in defaults.items()})
+    if locations:
+        at, table = locations
+        first = at.where(F.col("idlocation_type") == location_type).groupBy(key).agg(F.min("idlocation").alias("idlocation"))
+        out = out.join(first, key, "left").join(table, "idlocation", "left")
+    if flags:
+        out = out.withColumns({c: flag(rule) for c, rule in flags.items()})
+    if label_column:
+        out = out.withColumn("label", F.concat(F.col(label_column[0]), F.lit(" - "), F.col(label_column[1])))
+    return out
+
+
+def purchase_units(units: DataFrame, unit_type: int = 1) -> DataFrame:
+    """K02 — the purchase unit of each product: its active unit of the type; of several the greatest coefficient and code,
+    taken independently, as the source does.  units: idproduct, idunit_type, isactive, coeff_multi, code"""
+    return (units.where((F.col("idunit_type") == unit_type) & (F.col("isactive") == 1)).groupBy("idproduct")
+            .agg(F.max("coeff_multi").alias("purchase_unit_coeff"), F.max("code").alias("purchase_unit_code")))
+
+
+def installed_base(materials: DataFrame, sites: DataFrame, clients: DataFrame, categories: DataFrame) -> DataFrame:
+    """K04b — machines with category, site and the site's client; machines whose site or client is unknown stay."""
+    s = sites.select("site_id", "client_id", "site_name", "site_address", "site_postal_code")
+    c = clients.select("client_id", "client_code", "client_name", "client_address", "partner_name")
+    return (materials.join(s, "site_id", "left").join(c, "client_id", "left")
+            .join(categories.select("category_id", "category_name"), "category_id", "left")
+            .select("material_id", "material_name", "material_brand", "material_serial_number", "category_name", "material_in_service_date",
+                    "material_is_active", "client_id", "client_code", "client_address", "client_name", "partner_name", "site_id",
+                    "site_address", "site_name", "site_postal_code"))
+
+
 def ordered_typology(df: DataFrame, rules: Sequence[tuple[Column, Mapping[str, str]]], columns: Sequence[str],
                      undefined: str = "INDEFINI") -> DataFrame:
     """K02 — the first matching rule sets every attribute; no match forces ``undefined`` in all of them

@@ -1,6 +1,8 @@
 """K38–K41 — help-desk: status events from a change log, lifecycle segments, SLA clocks, ticket 360."""
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -8,6 +10,43 @@ from fieldops.operators.business_time import business_minutes
 from fieldops.operators.windows import bucketed_neighbours
 
 TZ = "Europe/Paris"
+EVENT = ("event_id", "ticket_id", "event_at", "event_date_paris", "event_name", "actor_id", "actor_name", "actor_type")
+
+
+def property_events(history: DataFrame, infos: DataFrame, properties: Mapping[str, str]) -> DataFrame:
+    """K38 — one row per change of a tracked property (``properties``: name in the log → name here), from one pass
+    over the change log: who, when, previous and new value, and whether this is the first assignment.
+
+    history: event_id, ticket_id, event_at, event_name, actor_id, actor_name, actor_type
+    infos:   event_id, property_name, then property_value / _id / _name, each as the value set at creation and as
+             previous and updated value: scalar properties fill the plain ones, objects (an assignee) id and name.
+    The new value is the updated one, or else the one of the creation; a creation has neither previous nor
+    updated value.  The facts of single properties are filters of this one."""
+    wanted = infos.where(F.col("property_name").isin(*properties))
+    kind = F.col("property_name")
+    e = history.join(wanted, "event_id")
+    own = F.coalesce("property_value", "property_value_id")
+    prev, new = (F.coalesce(f"{x}_value", f"{x}_value_id") for x in ("previous", "updated"))
+    return e.select(
+        "event_id", "ticket_id", "event_at",
+        F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("event_date_paris"),
+        "event_name", "actor_id", "actor_name", "actor_type", F.coalesce(*[F.when(kind == k, F.lit(v)) for k, v in properties.items()]).alias("property"),
+        prev.alias("previous"), F.col("previous_value_name").alias("previous_name"), F.coalesce(new, own).alias("new"),
+        F.coalesce("updated_value_name", "property_value_name").alias("new_name"),
+        (prev.isNull() & new.isNull() & own.isNotNull()).alias("is_initial"))
+
+
+def priority_events(events: DataFrame) -> DataFrame:
+    """K38 — changes of a ticket's priority, of property_events."""
+    return events.where("property = 'priority'").select(
+        *EVENT, F.col("previous").alias("prev_priority"), F.col("new").alias("new_priority"), F.col("is_initial").alias("is_initial_assignment"))
+
+
+def assignee_events(events: DataFrame) -> DataFrame:
+    """K38 — changes of a ticket's assignee, of property_events."""
+    return events.where("property = 'assignee'").select(
+        *EVENT, F.col("previous").alias("prev_assignee_id"), F.col("previous_name").alias("prev_assignee_name"),
+        F.col("new").alias("new_assignee_id"), F.col("new_name").alias("new_assignee_name"), F.col("is_initial").alias("is_initial_assignment"))
 
 
 def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -15,14 +54,10 @@ def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
 
     history: event_id, ticket_id, event_at, event_name, actor_id, actor_name, actor_type,
              property_value, property_value__previous_value, property_value__updated_value
-    mapping: status, status_type, is_on_hold, is_closed   (small seed: broadcast twice)
+    mapping: status, status_type, is_on_hold, is_closed   (a seed, looked up twice)
     """
-    prev_map = F.broadcast(mapping.select(F.col("status").alias("_ps"), F.col("status_type").alias("prev_status_type"),
-                                          F.col("is_on_hold").alias("prev_is_on_hold"),
-                                          F.col("is_closed").alias("prev_is_closed")))
-    new_map = F.broadcast(mapping.select(F.col("status").alias("_ns"), F.col("status_type").alias("new_status_type"),
-                                         F.col("is_on_hold").alias("new_is_on_hold"),
-                                         F.col("is_closed").alias("new_is_closed")))
+    prev_map, new_map = (mapping.select(F.col("status").alias(f"_{k}"), *[F.col(c).alias(f"{k}_{c}") for c in (
+        "status_type", "is_on_hold", "is_closed")]) for k in ("prev", "new"))
     e = history.select(
         "event_id", "ticket_id", "event_at",
         F.to_date(F.from_utc_timestamp(F.col("event_at").cast("timestamp"), TZ)).alias("event_date_paris"),
@@ -31,8 +66,8 @@ def status_events(history: DataFrame, mapping: DataFrame) -> DataFrame:
         F.coalesce("property_value__updated_value", "property_value").alias("new_status"),
         (F.col("property_value__previous_value").isNull() & F.col("property_value__updated_value").isNull()
          & F.col("property_value").isNotNull()).alias("is_creation_event"))
-    return (e.join(prev_map, e.prev_status == prev_map._ps, "left")
-             .join(new_map, e.new_status == new_map._ns, "left").drop("_ps", "_ns"))
+    return (e.join(prev_map, e.prev_status == prev_map._prev, "left")
+             .join(new_map, e.new_status == new_map._new, "left").drop("_prev", "_new"))
 
 
 def lifecycle_segments(events: DataFrame, cal: DataFrame) -> DataFrame:
