@@ -6,6 +6,11 @@ to call it boilerplate; these become capacities to two terminals.  Neighbouring
 by edges that cost something to cut, more if they lie in the same part of the document tree.  The
 minimum cut is the labelling of least total cost, found by maximum flow.
 
+What a name, a role or a form says against an element is set aside where the page itself speaks for
+it: if it holds the article, or more than half of the running text of its article or, on pages without
+one, of the page.  A layout is called ``has-sidebar`` and a whole page may be one form; only what is beside the text is not
+part of it.  Without any such sign, edges decide: a line too short to tell goes with its neighbours.
+
 Rows: a null or empty page has an empty text.  Whatever is malformed is read as far as it makes
 sense: open tags end with the page, stray end tags are ignored.  Repeated rows are read alike.
 Further columns are passed on; of a name that is also a result's, the result stays.
@@ -13,7 +18,7 @@ Further columns are passed on; of a name that is also a result's, the result sta
 from __future__ import annotations
 
 import re
-from collections import deque
+from collections import Counter, deque
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -43,48 +48,80 @@ BAD_NAME = re.compile(
     r"comments?|comment-\w+|disqus|replies|share|sharing|social|follow|legal|copyright|disclaimer|pagination|pager|tags?|"
     r"search|form)(?:$|[-_\s])", re.I)
 BAD_ROLE = frozenset("navigation banner contentinfo complementary search dialog alert form menu menubar".split())
+#: names of what readers wrote, which may well be most of a page
+READERS = re.compile(r"(?:^|[-_\s])(?:comments?|comment-\w+|disqus|replies)(?:$|[-_\s])", re.I)
 NAME_COST, BAD_NAME_COST = 25, -90
 NEAR, SAME_PARENT = 4, 14
+ARTICLE = frozenset(("article", "main"))
 
 
 class Block:
-    __slots__ = ("cost", "letters", "linked", "parent", "parts")
+    __slots__ = ("cost", "within", "letters", "linked", "parent", "parts")
+
+    def __init__(self, parent: int):
+        self.parent, self.cost, self.within, self.parts, self.linked, self.letters = parent, 0, [], [], 0, 0
+
+
+class _Element:
+    """What a tag and its attributes say: for or against article text, and whether that may be set aside."""
+    __slots__ = ("parent", "cost", "soft", "article", "header", "letters", "holds")
 
-    def __init__(self, parent: int, cost: int):
-        self.parent, self.cost, self.parts, self.linked, self.letters = parent, cost, [], 0, 0
+    def __init__(self, parent: int, tag: str, attrs: list):
+        self.parent, self.cost, self.soft, self.letters = parent, TAG_COST.get(tag, 0), 0, 0
+        named = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
+        names, role = f"{named.get('class', '')} {named.get('id', '')}", named.get("role", "").lower()
+        self.article = self.holds = tag in ARTICLE or role in ARTICLE
+        self.header = tag == "header"
+        if tag in ("form", "header"):
+            self.cost, self.soft = 0, TAG_COST[tag]
+        if BAD_NAME.search(names) and tag not in ("article", "main", "body", "html"):
+            if READERS.search(names):
+                self.cost = min(self.cost, BAD_NAME_COST)
+            self.soft = min(self.soft, BAD_NAME_COST)
+        elif GOOD_NAME.search(names) and self.cost >= 0:
+            self.cost += NAME_COST
+        if role in BAD_ROLE:
+            self.soft = min(self.soft, BAD_NAME_COST)
+        if "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", ""):
+            self.cost = min(self.cost, BAD_NAME_COST)
 
 
 class _Page(HTMLParser):
-    """Reads a page into blocks, each with its parent element and what its ancestors say."""
+    """Reads a page into blocks, each with its parent element and the elements that its text lies in."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.stack: list[tuple[str, int, int]] = []  # tag, element number, cost from the tags so far
+        # tag, element number, number of the innermost element at or above it that is no inline one
+        self.stack: list[tuple[str, int, int]] = []
+        self.open_tags: Counter[str] = Counter()
+        self.elements = [_Element(0, "", [])]
         self.blocks: list[Block] = []
         self.open: Block | None = None
         self.links = 0
         self.silent = 0
-        self.elements = 0
 
-    def _cost(self, tag: str, attrs: list) -> int:
-        """What an element says of all that is in it; the strongest doubt of an ancestor stays."""
-        above = self.stack[-1][2] if self.stack else 0
-        own = TAG_COST.get(tag, 0)
-        named = {k: v or "" for k, v in attrs if k in ("class", "id", "role", "hidden", "aria-hidden", "style")}
-        names = f"{named.get('class', '')} {named.get('id', '')}"
-        if BAD_NAME.search(names) and tag not in ("article", "main", "body", "html"):
-            own = min(own, BAD_NAME_COST)
-        elif GOOD_NAME.search(names) and own >= 0:
-            own += NAME_COST
-        if named.get("role", "").lower() in BAD_ROLE:
-            own = min(own, BAD_NAME_COST)
-        if "hidden" in named or named.get("aria-hidden") == "true" or "display:none" in named.get("style", "").replace(" ", ""):
-            own = min(own, BAD_NAME_COST)
-        if tag == "header" and any(t in ("article", "main") for t, _, _ in self.stack) and own == TAG_COST["header"]:
-            own = 0  # an article's own head
-        if own < 0 or above < 0:
-            return min(own, above) if own < 0 else above
-        return max(above, own) + min(above, own) // 4
+    def settle(self) -> None:
+        """The cost of each block from its elements, once the page is known as a whole."""
+        every = self.elements
+        for e in reversed(every[1:]):
+            every[e.parent].letters += e.letters
+            every[e.parent].holds |= e.holds
+        costs, inside = [0], [0]  # inside: the nearest article around an element's children
+        for e in every[1:]:
+            above, own = costs[e.parent], e.cost
+            # what holds the article, or most of an article or of a page without one, is no boilerplate whatever it is called
+            around = inside[e.parent]
+            ours = e.holds or ((around or not every[0].holds) and 2 * e.letters > every[around].letters)
+            if e.soft < 0 and not ours and not (e.header and around and e.soft == TAG_COST["header"]):
+                own = min(own, e.soft)
+            if own < 0 or above < 0:
+                costs.append(min(own, above) if own < 0 else above)
+            else:
+                costs.append(max(above, own) + min(above, own) // 4)
+            inside.append(len(costs) - 1 if e.article else around)
+        for b in self.blocks:
+            found = [costs[n] for n in b.within]
+            b.cost = found[0] if min(found) >= 0 else min(found)
 
     def _end_block(self) -> None:
         self.open = None
@@ -106,7 +143,7 @@ class _Page(HTMLParser):
             return
         ends = IMPLIED_END.get(tag, frozenset()) | ({"p"} if tag in _ENDS_P else set())
         if ends:
-            for i in range(len(self.stack) - 1, -1, -1):
+            for i in range(len(self.stack) - 1, -1, -1) if any(self.open_tags[t] for t in ends) else ():
                 if self.stack[i][0] in ends:
                     self._close(i)
                     break
@@ -114,8 +151,10 @@ class _Page(HTMLParser):
                     break
         if tag not in INLINE:
             self._end_block()
-        self.elements += 1
-        self.stack.append((tag, self.elements, self._cost(tag, attrs)))
+        number, above = len(self.elements), self.stack[-1] if self.stack else ("", 0, 0)
+        self.elements.append(_Element(above[1], tag, attrs))
+        self.stack.append((tag, number, above[2] if tag in INLINE else number))
+        self.open_tags[tag] += 1
         self.silent += tag in SILENT
         self.links += tag == "a"
 
@@ -124,6 +163,7 @@ class _Page(HTMLParser):
 
     def _close(self, at: int) -> None:
         for tag, _, _ in self.stack[at:]:
+            self.open_tags[tag] -= 1
             self.silent -= tag in SILENT
             self.links -= tag == "a"
             if tag not in INLINE:
@@ -134,11 +174,9 @@ class _Page(HTMLParser):
         if tag == "br":
             self._text(" ")
             return
-        for i in range(len(self.stack) - 1, -1, -1):
-            if self.stack[i][0] == tag:
-                self._close(i)
-                return
-        if tag not in INLINE:
+        if self.open_tags[tag]:
+            self._close(next(i for i in range(len(self.stack) - 1, -1, -1) if self.stack[i][0] == tag))
+        elif tag not in INLINE:
             self._end_block()
 
     def handle_data(self, data: str) -> None:
@@ -152,16 +190,20 @@ class _Page(HTMLParser):
         if self.open is None:
             if not data.strip():
                 return
-            parent = next((n for t, n, _ in reversed(self.stack[:-1]) if t not in INLINE), 0)
-            self.open = Block(parent, self.stack[-1][2] if self.stack else 0)
+            # the element around the block's own
+            own = self.stack[-1][1] if self.stack else 0
+            self.open = Block(self.stack[-2][2] if len(self.stack) > 1 else 0)
+            self.open.within.append(own)
             self.blocks.append(self.open)
-        elif self.stack:
-            self.open.cost = min(self.open.cost, self.stack[-1][2]) if self.stack[-1][2] < 0 else self.open.cost
+        elif self.stack and self.stack[-1][1] != self.open.within[-1]:
+            self.open.within.append(self.stack[-1][1])
         self.open.parts.append(data)
         n = sum(not c.isspace() for c in data) if len(data) < 200 else len(data)
         self.open.letters += n
         if self.links:
             self.open.linked += n
+        else:
+            self.elements[self.stack[-1][1] if self.stack else 0].letters += n
 
 
 def read_blocks(html: str) -> list[tuple[str, Block]]:
@@ -169,6 +211,7 @@ def read_blocks(html: str) -> list[tuple[str, Block]]:
     page = _Page()
     page.feed(html)
     page.close()
+    page.settle()
     out = []
     for b in page.blocks:
         text = " ".join("".join(b.parts).split())

@@ -294,3 +294,54 @@ def test_cuts_by_divide_and_conquer():
         stop_a, stop_b = alignment.leaves(ends_a, ends_b, np.array(edges_a), np.array(edges_b))
         both = np.intersect1d(ends_a, ends_b)
         assert ends_a[stop_a - 1].tolist() == both.tolist() == ends_b[stop_b - 1].tolist()
+
+
+# ---------------------------------------------------------------- 7
+
+LONG = "The river rose for three days before anyone in the valley thought of leaving, and then the road was gone."
+ARTICLE_TEXT = "\n".join(["Flood in the valley", LONG, LONG.replace("three", "four")])
+BODY = "<h1>Flood in the valley</h1><p>" + LONG + "</p><p>" + LONG.replace("three", "four") + "</p>"
+MENU = '<nav><a href="/">Home</a> <a href="/a">About</a></nav>'
+FOOT = '<div class="footer">All rights reserved by the valley press and its owners.</div>'
+
+
+@pytest.mark.parametrize("page", [
+    f'<div class="layout has-sidebar">{MENU}<article>{BODY}</article><div class="sidebar">Read also our other pages.</div></div>{FOOT}',
+    f'<div class="page no-sidebar"><article>{BODY}</article></div>{FOOT}',
+    f'<div class="site sticky-header footer-dark">{MENU}<article>{BODY}</article>{FOOT}</div>',
+    f'{MENU}<article><div class="article-body legal">{BODY}</div></article>{FOOT}',
+    f'<form action="x.aspx"><input type="hidden">{MENU}<article>{BODY}</article>{FOOT}</form>',
+    f'{MENU}<article><blockquote class="notice">{BODY}</blockquote></article>{FOOT}',
+    f'<form id="aspnetForm" class="page search-form">{MENU}<div>{BODY}</div>{FOOT}</form>',
+    f'{MENU}<div class="site header-fixed"><div>{BODY}</div>{FOOT}</div>',
+    f'<article>{BODY}</article><div class="comments"><p>{"I was there. " * 100}</p></div>{FOOT}',
+    f'{MENU}<div>{BODY}</div><div class="comments"><p>{"I was there and saw it all. " * 100}</p></div>{FOOT}',
+    f'<div class="notice">We use cookies.</div><article><header>{BODY[:BODY.index("<p>")]}</header>{BODY[BODY.index("<p>"):]}</article>{FOOT}'])
+def test_articles_survive_the_names_around_them(page):
+    from fieldops.llm.html_mincut import main_text
+    assert main_text(f"<html><body>{page}</body></html>") == ARTICLE_TEXT
+
+
+def test_the_cut_changes_labels_for_the_better():
+    """Blocks that their own words would lose, and the cut keeps; and one that it drops."""
+    from fieldops.llm.html_mincut import content_cost, main_text, read_blocks
+    page = f"<body><ul><li><a href=a>One</a><li>Two<li><a href=b>Three</a></ul><div><p>{LONG}</p><p>Why?</p><p>Nobody knew</p><p>{LONG}</p></div></body>"
+    own = [t for t, b in read_blocks(page) if content_cost(t, b) > 0]
+    assert own == [LONG, LONG]
+    assert main_text(page) == "\n".join([LONG, "Why?", "Nobody knew", LONG])
+    between = f"<body><ul><li><a href=a>Home page</a></li><li>Eight words stand here between links of menus.</li><li><a href=b>Other page</a></li></ul><div><p>{LONG}</p></div></body>"
+    assert len([t for t, b in read_blocks(between) if content_cost(t, b) > 0]) == 2
+    assert main_text(between) == LONG
+
+
+def test_deep_and_broken_nesting_is_linear():
+    import time
+
+    from fieldops.llm.html_mincut import main_text
+    n = 100_000
+    began = time.time()
+    assert main_text("<div>" * n + LONG + "</p></span>" * n) == LONG
+    assert main_text("<b>" * n + f"<p>{LONG}" + "</i></section>" * n) == LONG
+    assert main_text("<ul><li>" * 20_000 + LONG) == LONG
+    assert main_text("".join(f"<p>{LONG}" for _ in range(2_000))).count("\n") == 1_999
+    assert time.time() - began < 30
