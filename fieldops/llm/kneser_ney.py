@@ -213,6 +213,8 @@ class KneserNey:
         n = np.zeros(shards, np.int64)
         for r in sizes:
             n[r["shard"]] = r["n"]
+        if n.sum() >= START_ID:  # a pair of numbers is one 64-bit key
+            raise ValueError("more than 2^32 - 2 distinct tokens")
         model = cls(path, shards, np.concatenate(([0], np.cumsum(n))), sum(r["total"] for r in sizes))
         model._count_pairs(docs)
         return model

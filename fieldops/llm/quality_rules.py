@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import io
 
+from hashlib import blake2b
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -31,6 +33,8 @@ BITS = 16
 FAMILIES = 3
 ROUNDS, RATE, DECAY = 120, 0.3, 1e-6
 SCALE = 30.0
+#: bytes from which lines are compared by a digest
+LONG_LINE = 512
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -75,9 +79,14 @@ def _repeated_lines(buf: np.ndarray, offs: np.ndarray, prefix: np.ndarray) -> np
     end = np.maximum(end, start)
     solid = np.concatenate(([0], np.cumsum(~C._SPACE[buf])))
     real = solid[end] > solid[start]
-    key = C.mix(C.range_hash(prefix, start[real], end[real]) + doc[real].astype(np.uint64))
+    start, end, doc = start[real], end[real], doc[real]
+    hashes = C.range_hash(prefix, start, end)
+    # there are different sequences of 1,024 bytes and more whose polynomial sums agree: long lines take a digest
+    for i in np.flatnonzero(end - start >= LONG_LINE).tolist():
+        hashes[i] = int.from_bytes(blake2b(buf[start[i]:end[i]].tobytes(), digest_size=8).digest(), "little")
+    key = C.mix(hashes + C.mix(doc.astype(np.uint64)))
     _, first = np.unique(key, return_index=True)
-    return np.bincount(doc[real], minlength=docs) - np.bincount(doc[real][first], minlength=docs)
+    return np.bincount(doc, minlength=docs) - np.bincount(doc[first], minlength=docs)
 
 
 def _analyse(buf: np.ndarray, offs: np.ndarray) -> tuple[dict, list]:

@@ -345,3 +345,26 @@ def test_deep_and_broken_nesting_is_linear():
     assert main_text("<ul><li>" * 20_000 + LONG) == LONG
     assert main_text("".join(f"<p>{LONG}" for _ in range(2_000))).count("\n") == 1_999
     assert time.time() - began < 30
+
+
+# ---------------------------------------------------------------- 4 and 9
+
+def test_lines_with_equal_polynomial_sums_are_not_repeats(spark):
+    from fieldops.llm import quality_rules
+
+    def thue_morse(n, a, b):
+        out = [0]
+        while len(out) < n:
+            out += [1 - x for x in out]
+        return "".join((a, b)[x] for x in out)
+
+    one, two = thue_morse(2048, "a", "b"), thue_morse(2048, "b", "a")
+    texts = [f"{one}\n{two}", f"{one}\n{two}\n{one}", f"{one} x\n{one} x", "short\nshort\n" + one]
+    found = []
+    for t in texts + [texts[1]]:
+        b = np.frombuffer(t.encode(), np.uint8)
+        found.append(int(quality_rules._analyse(b, np.array([0, len(b)]))[0]["n_dup_lines"][0]))
+    assert found == [0, 1, 1, 1, 1]
+    whole = "".join(texts).encode()
+    offs = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
+    assert quality_rules._analyse(np.frombuffer(whole, np.uint8), offs)[0]["n_dup_lines"].tolist() == [0, 1, 1, 1]
