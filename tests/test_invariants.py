@@ -32,7 +32,7 @@ def test_reorder_packs_cover_quantity(spark):
 
 def test_flows_stock_total(spark):
     df = REG["k15_monthly_flows"].fn(spark, SF)
-    assert bad_rows(df, F.col("stock_total") == F.col("stock_depot") + F.col("stock_vehicule")) == 0
+    assert bad_rows(df, F.col("stock_total") == F.col("stock_depots") + F.col("stock_vans")) == 0
 
 
 def test_repair_flag_matches_rank(spark):
