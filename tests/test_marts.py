@@ -126,3 +126,68 @@ def test_dimension_rules(spark):
     units = spark.createDataFrame([(1, 1, 1, 6, "B"), (1, 1, 1, 2, "C"), (1, 2, 1, 99, "Z"), (2, 1, 0, 6, "B")],
                                   "idproduct int, idunit_type int, isactive int, coeff_multi int, code string")
     assert [tuple(r) for r in dims.purchase_units(units).collect()] == [(1, 6, "C")]
+
+
+def test_workday_ends_and_visits_with_clock(spark):
+    from fieldops.plans.vending import visits_with_clock, workday_ends
+    import datetime as dt
+    at = lambda d, h, m=0: dt.datetime(2024, 3, d, h, m)
+    clock = spark.createDataFrame([
+        (1, "START_DAY", at(4, 2, 59)), (1, "START_DAY", at(4, 8)), (1, "START_DAY", at(4, 7)), (1, "END_DAY", at(4, 6)), (1, "END_DAY", at(4, 17)),
+        (2, "START_DAY", at(4, 9)), (2, "END_DAY", at(4, 5)),  # the only end is before the start
+        (3, "END_DAY", at(4, 17)), (None, "START_DAY", at(4, 9))],
+        "resources_roadman_id int, label_code string, date_pointage timestamp_ntz")
+    ends = {r[0]: (r[2], r[3]) for r in workday_ends(clock).collect()}
+    assert ends == {1: (at(4, 7), at(4, 17)), 2: (at(4, 9), None), 3: (None, None)}
+    visits = spark.createDataFrame([
+        (1, 1, "ENCOURS", at(4, 9), at(4, 10)), (2, 1, "FAIT", at(4, 9), at(4, 9, 30)), (3, 1, "ANNULE", at(4, 9), at(4, 10)),
+        (4, 3, "ANOMALIE", at(4, 9), None), (5, None, "PREVU", at(4, 9), None), (6, 1, None, at(4, 9), None)],
+        "task_id int, resources_roadman_id int, task_status_code string, task_start_date timestamp_ntz, task_end_date timestamp_ntz")
+    out = {r["task_id"]: r for r in visits_with_clock(visits, clock).collect()}
+    assert set(out) == {1, 2, 4, 5}
+    flags = lambda r: (r["task_status_code"], r["is_done"], r["is_planned"], r["is_anomaly"], r["passage_duration_min"], r["pointage_missing_flag"])
+    assert flags(out[1]) == ("FAIT", 1, 1, 0, None, 0)
+    assert flags(out[2]) == ("FAIT", 1, 1, 0, 30.0, 0)
+    assert flags(out[4]) == ("ANOMALIE", 0, 0, 1, None, 1)
+    assert flags(out[5]) == ("PREVU", 0, 1, 0, None, 1)
+    assert visits_with_clock(visits.limit(0), clock).count() == 0
+
+
+def test_stock_perimeters(spark):
+    from fieldops.plans.supply import stock_by_store, stock_of_entities
+    stock = spark.createDataFrame([
+        (1, "company", "north", 0.0, None, 2.0), (1, "resource", "van", 3.0, 5.0, 2.0), (2, "resource", "person", 1.0, None, None),
+        (3, "resource", "idle", 1.0, 1.0, 1.0), (9, "resource", "unknown", None, 1.0, 1.0), (4, "company", "north too", 1.0, 1.0, 1.0),
+        (1, None, "north", 1.0, 1.0, 1.0)],
+        "id_entity int, entity_type string, entity_name string, stock_at_date double, dpa double, purchase_price double")
+    res = spark.createDataFrame([(1, "VEHICLE", True), (2, "PERSON", True), (3, "VEHICLE", False)],
+                                "resources_id int, resources_type string, is_active boolean")
+    inside = {(r["entity_name"], r["dpa"], r["is_out_of_stock"]) for r in stock_of_entities(stock, res, ["north"], "VEHICLE").collect()}
+    assert inside == {("north", 2.0, True), ("van", 5.0, False)}
+    every = [(r["entity_type"], r["entity_name"], r["is_active"], r["is_out_of_stock"]) for r in stock_of_entities(stock, res).collect()]
+    assert sorted(every, key=str) == sorted([
+        ("company", "north", None, True), ("resource", "van", True, False), ("resource", "person", True, False),
+        ("resource", "idle", False, False), ("resource", "unknown", False, None), ("company", "north too", None, False),
+        (None, "north", None, False)], key=str)
+    rows = spark.createDataFrame([("a", "DEPOT X"), ("b", "bob"), (None, "DEPOT X"), ("c", None)], "reference string, nom_du_stock string")
+    export = rows.selectExpr("*", "'x' as designation", "1.0 as quantite", "timestamp'2024-01-02 03:00:00' as export_date")
+    assert {(r["reference"], r["type_stock"]) for r in stock_by_store(export, "^DEPOT").collect()} == {("a", "DEPOT"), ("b", "TECHNICIEN")}
+
+
+def test_parts_by_job_and_opportunities(spark):
+    from fieldops.plans.crm import OPPORTUNITY_NAMES, normalise_opportunities
+    from fieldops.plans.service import parts_consumption_by_job
+    art = spark.createDataFrame([(1, "ab", "T1", 2.0), (1, "ab", None, 1.0), (2, "cd", "T1", 1.0), (3, None, "t9", 1.0)],
+                                "n_planning int, code_article string, n_tech string, quantite_article double")
+    jobs = spark.createDataFrame([(1, "x", "in"), (2, "x", "out"), (3, "y", "in")], "n_planning int, etat_intervention string, agency string")
+    jobs = jobs.selectExpr("*", "timestamp'2024-01-01' as date_heure_debut", "timestamp'2024-01-01' as date_heure_fin")
+    people = spark.createDataFrame([(7, "t1"), (8, None)], "user_id int, nomad_id string")
+    out = [(r["n_planning"], r["product_reference"], r["technician_id"]) for r in parts_consumption_by_job(art, jobs, people, ["in"], "P_").collect()]
+    assert sorted(out, key=str) == sorted([(1, "P_AB", 7), (1, "P_AB", None), (3, None, None)], key=str)
+    raw = spark.createDataFrame([(1, "#", "12", 40.0, "Won", "Other"), (None, "7", "x1", None, None, None)],
+                                "opportunity_id long, c4c_id_account string, c4c_id_campaign string, chance_of_success double, "
+                                "lifecycle_status string, role_account string")
+    raw = raw.selectExpr("*", *[f"'v' as {c}" for c in OPPORTUNITY_NAMES])
+    got = [(r["opp_id"], r["opp_id_client_c4c"], r["opp_campagne_id"], r["opp_probabilite"], r["opp_statut"], r["opp_role"])
+           for r in normalise_opportunities(raw, {"lifecycle_status": {"Won": "w"}, "role_account": {"Customer": "c"}}).collect()]
+    assert sorted(got, key=str) == sorted([("1", None, 12, 0.4, "w", "Other"), (None, "7", None, None, None, None)], key=str)
