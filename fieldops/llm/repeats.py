@@ -10,6 +10,10 @@ always meet under that gram's hash, yet only about one position in half a window
 Anchors with the same (h, c) agree on every window; only anchors that share h and differ in c
 need their windows compared one by one, and of equal ones a single representative does.
 Fingerprints are 64 bits wide; a window counts as repeated if its gram's and its own agree.
+
+For doubling, an anchor also carries the gram at twice its length: a window that starts at ``cut`` or
+later holds the gram and as much behind it (hash ``hr``), one that starts earlier the gram and as
+much before it (``hl``).  Equal windows are on the same side, so the doubled gram is inside them too.
 """
 from __future__ import annotations
 
@@ -24,6 +28,7 @@ _POS_BITS = 24
 #: elements that are scanned at once; a longer document is scanned in overlapping pieces
 _PIECE = 1 << 22
 ANCHOR_SCHEMA = "h long, c long, did long, tk long, s0 int, s1 int"
+DOUBLED_SCHEMA = ANCHOR_SCHEMA + ", cut int, hr long, hl long"
 
 
 def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
@@ -37,10 +42,11 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
 
 
 def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
-    """Anchors of all documents in a run of values: (document, s0, s1, h, c), starts in the run."""
+    """Anchors of all documents in a run of values: (document, s0, s1, h, c, p, prefix sums), s0, s1 and
+    the gram's place p in the run."""
     none = np.zeros(0, np.int64)
     if len(values) < window:
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none, np.zeros(1, np.uint64)
     prefix = C.prefix_hash(values)
     at = np.arange(len(values) - gram + 1)
     grams = C.range_hash(prefix, at, at + gram)
@@ -49,7 +55,7 @@ def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(least)]
     good = np.flatnonzero(np.arange(len(least)) + window <= offs[doc + 1])
     if not len(good):
-        return none, none, none, none.astype(np.uint64), none.astype(np.uint64)
+        return none, none, none, none.astype(np.uint64), none.astype(np.uint64), none, prefix
     pos = (least[good] & np.uint64((1 << _POS_BITS) - 1)).astype(np.int64)
     first = np.flatnonzero(np.concatenate(([True], pos[1:] != pos[:-1])))
     last = np.concatenate((first[1:], [len(pos)])) - 1
@@ -57,7 +63,15 @@ def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
     cover = C.range_hash(prefix, s0, s1 + window)
     cover = C.mix(cover + (p - s0).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
                   + (p - s1).astype(np.uint64))
-    return doc[s0], s0, s1, grams[p], cover
+    return doc[s0], s0, s1, grams[p], cover, p, prefix
+
+
+def _twice(p: np.ndarray, prefix: np.ndarray, gram: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the grams at p with as much behind and before them; where that leaves the run no window
+    holds it, and the hash is not used."""
+    right = C.range_hash(prefix, p, np.minimum(p + 2 * gram, len(prefix) - 1))
+    left = C.range_hash(prefix, np.maximum(p - gram, 0), p + gram)
+    return right, C.mix(left + np.uint64(1))  # never met under one key
 
 
 def _elements(buf: np.ndarray, offs: np.ndarray, unit: str) -> tuple[np.ndarray, np.ndarray]:
@@ -67,8 +81,10 @@ def _elements(buf: np.ndarray, offs: np.ndarray, unit: str) -> tuple[np.ndarray,
     return C.word_hashes(buf, starts, ends), woffs
 
 
-def anchors(docs: DataFrame, unit: str, gram: int, window: int) -> DataFrame:
-    """Anchors of docs (did, tk, text); unit is "byte" or "word"."""
+def anchors(docs: DataFrame, unit: str, gram: int, window: int, doubled: bool = False) -> DataFrame:
+    """Anchors of docs (did, tk, text); unit is "byte" or "word".  doubled: with cut, hr and hl, which
+    needs 2 * gram <= window and 3 * gram <= window + 1."""
+    schema = DOUBLED_SCHEMA if doubled else ANCHOR_SCHEMA
 
     def run(batches):
         for b in C.steps(batches):
@@ -80,17 +96,19 @@ def anchors(docs: DataFrame, unit: str, gram: int, window: int) -> DataFrame:
                 pieces = [(a, min(a + _PIECE + window - 1, e), None) for s, e in zip(offs[:-1], offs[1:])
                           for a in range(s, max(s + 1, e - window + 1), _PIECE)]
             for lo, hi, own in pieces:
-                doc, s0, s1, h, c = _scan(values[lo:hi], own if own is not None else np.array([0, hi - lo]),
-                                          gram, window)
+                doc, s0, s1, h, c, p, prefix = _scan(values[lo:hi], own if own is not None else np.array([0, hi - lo]),
+                                                     gram, window)
                 if own is None:
                     doc = np.full(len(s0), np.searchsorted(offs, lo, side="right") - 1)
                 shift = lo - offs[doc]
-                yield pa.RecordBatch.from_arrays(
-                    [C.signed(h), C.signed(c), pa.array(did[doc]), pa.array(tk[doc]),
-                     pa.array((s0 + shift).astype(np.int32)), pa.array((s1 + shift).astype(np.int32))],
-                    names=["h", "c", "did", "tk", "s0", "s1"])
-
-    return docs.select("did", "tk", "text").mapInArrow(run, ANCHOR_SCHEMA)
+                cols = [C.signed(h), C.signed(c), pa.array(did[doc]), pa.array(tk[doc]),
+                        pa.array((s0 + shift).astype(np.int32)), pa.array((s1 + shift).astype(np.int32))]
+                if doubled:
+                    cut = (p + 2 * gram - window + shift).astype(np.int32)
+                    cols += [pa.array(cut), *[C.signed(x) for x in _twice(p, prefix, gram)]]
+                yield pa.RecordBatch.from_arrays(cols, names=["h", "c", "did", "tk", "s0", "s1", "cut", "hr", "hl"][:len(cols)])
+
+    return docs.select("did", "tk", "text").mapInArrow(run, schema)
 
 
 #: classes of one gram that are compared in one task

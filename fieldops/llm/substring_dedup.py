@@ -1,10 +1,13 @@
 """Substring de-duplication by level-wise doubling.
 
-Level by level, only windows that repeat at one length are extended to longer ones.  The first
-level counts grams of a quarter of a window, sampled so that each window holds the gram that stands
-for it (``repeats.py``); of grams that repeat, the next compares all that their windows cover (the
-gram and its surroundings, twice and four times as long); only where that differs are single
-windows compared.  ``longer_repeats`` goes on by doubling the window until no candidate survives.
+Level by level, only windows that repeat at one length are extended to twice that length: 5 words,
+10, 20.  The first level counts five-word grams, sampled so that each window holds the gram that
+stands for it (``repeats.py``).  Places whose gram repeats and whose surroundings (all that the
+gram's windows cover) are alike are copies: their windows repeat as a whole, and one place stands for
+all from then on.  Of places whose surroundings differ, the grams of twice the length are counted,
+and only where these repeat are the windows themselves compared, four times as long as the first.
+No level looks at text that did not repeat at the level before.  ``longer_repeats`` goes on with
+longer windows until no candidate survives.
 
 Rows: a null, empty or short text has no window; it keeps all its words.  "Earlier" is the order of
 (doc_id, text hash, start) with a null doc_id first, so rows that share only the id are ordered by
@@ -30,17 +33,34 @@ WINDOW = 20
 def later_runs(keyed: DataFrame, window: int = WINDOW) -> DataFrame:
     """Runs (did, tk, s0, s1) of starts of windows of keyed (did, tk, text) whose word sequence also
     starts earlier."""
-    level1 = R.anchors(keyed, "word", max(1, window // 4), window)
+    gram = max(1, window // 4)
+    doubled = 2 * gram <= window
+    level1 = R.anchors(keyed, "word", gram, window, doubled)
     # written first: a side that is still to be aggregated would keep a hot gram's rows in one task
     again = C.staged(level1.select("h").groupBy("h").count().where("count > 1").select("h"), "grams")
     hits = C.staged(level1.join(again, "h", "left_semi"), "hits")
     here = F.struct("did", "tk", "s0", "s1")
-    classes = C.staged(hits.groupBy("h", "c").agg(F.min(here).alias("rep"), F.max(here).alias("last")), "classes")
-    many = classes.where("rep != last").select("h", "c", "rep")
-    whole = hits.join(many, ["h", "c"]).where(here > F.col("rep")).select("did", "tk", "s0", "s1")
+    place = F.struct("did", "tk", "s0", "s1", *["cut", "hr", "hl"] * doubled)
+    classes = C.staged(hits.groupBy("h", "c").agg(F.min(place).alias("rep"), F.max(here).alias("last")), "classes")
+    rep = F.struct(*[F.col(f"rep.{x}").alias(x) for x in ("did", "tk", "s0", "s1")])
+    many = classes.where(rep != F.col("last")).select("h", "c", rep.alias("rep"))
+    whole = hits.select("h", "c", "did", "tk", "s0", "s1").join(many, ["h", "c"]).where(here > F.col("rep"))
     split = C.staged(classes.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "split")
     reps = classes.join(split, "h").select("h", "k", "rep.*")
-    return whole.unionByName(R.repeated_starts(keyed, reps, "word", window, keep_first=True))
+    if doubled:
+        reps = _repeated_at_twice(reps)
+    return whole.select("did", "tk", "s0", "s1").unionByName(R.repeated_starts(keyed, reps, "word", window, keep_first=True))
+
+
+def _repeated_at_twice(reps: DataFrame) -> DataFrame:
+    """Of places whose gram repeats, the runs (h, k, did, tk, s0, s1) whose gram of twice the length,
+    h, repeats too, k times."""
+    behind = F.when(F.col("s1") >= F.col("cut"), F.struct(F.col("hr").alias("h"), F.greatest("s0", "cut").alias("s0"), F.col("s1")))
+    before = F.when(F.col("s0") < F.col("cut"), F.struct(F.col("hl").alias("h"), F.col("s0"), F.least(F.col("s1"), F.col("cut") - 1).alias("s1")))
+    runs = reps.select("did", "tk", F.explode(F.array_compact(F.array(behind, before))).alias("run"))
+    runs = C.staged(runs.select("run.h", "did", "tk", "run.s0", "run.s1"), "twice_as_long")
+    again = C.staged(runs.groupBy("h").agg(F.count("*").alias("k")).where("k > 1"), "longer_grams")
+    return runs.join(again, "h").select("h", "k", "did", "tk", "s0", "s1")
 
 
 def remove_repeats(docs: DataFrame, window: int = WINDOW, kept: bool = True) -> DataFrame:

@@ -122,6 +122,19 @@ def test_repeats_of_odd_rows(spark, odd, none):
         assert fn(none).count() == 0
 
 
+@pytest.mark.parametrize("window", [1, 2, 3, 5, 8, 11])
+def test_doubling_keeps_every_repeat(spark, monkeypatch, window):
+    """Few words, so that grams repeat, doubled grams repeat less and windows less still; on both sides of the gram, at
+    the ends of documents and of pieces of a document."""
+    monkeypatch.setattr(repeats, "_PIECE", 64)
+    rng = np.random.default_rng(window)
+    rows = [(int(i), " ".join(rng.choice(["a", "b", "c", "dd"], rng.integers(0, 130)))) for i in range(25)]
+    rows += [(100, rows[3][1] + " a b " + rows[4][1]), (101, "q q q " + rows[3][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substring_dedup.remove_repeats(docs, window).collect()
+    check_removed(got, docs.collect(), brute_substrings(docs.collect(), window), ("n_words", "n_removed", "kept_sha256"))
+
+
 def test_doubling_goes_on_until_nothing_repeats(spark):
     text = " ".join(f"a{i}" for i in range(100))
     docs = spark.createDataFrame([(1, text), (2, "x " + text), (3, "lone words " * 3)], "doc_id long, text string")
