@@ -10,6 +10,10 @@
 The schedule leaves a source a few slots short of or beyond its target; short ones get slots at the
 end, and slots beyond the target are not taken, so each source ends at its target to the word.
 
+The mix in order is what slots are for: a document is read from the slot on that takes its first word.
+``mix`` gives that slot, ``mixed_documents`` on demand the one of every repetition; rows sorted by it
+hold each source in nearly its share in every stretch.
+
 No step gathers a source in one task: offsets are running sums within (source, digest bucket) plus
 sums over buckets; ranks are counted within runs of slots; slots find their source by an equal
 join on cells of the unit interval.
@@ -95,7 +99,8 @@ def place(keyed: DataFrame) -> DataFrame:
 
 
 def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(slot, source, block, take): the mix in order; slot's source gives `take` words of a block."""
+    """(slot, source, pass, block, take): the mix in order; slot's source gives `take` words of a block, in the
+    pass over its stream that is counted from 0."""
     spark = targets.sparkSession
     per = (targets.where("target >= 0.5")
            .withColumn("goal", F.round("target").cast("long"))
@@ -135,29 +140,35 @@ def schedule(targets: DataFrame, block: int = BLOCK) -> DataFrame:
     plan = ranked.unionByName(late).withColumnRenamed("source", "s_").join(
         per.select("source", "source_size", "goal", "blocks", "need"), F.col("s_").eqNullSafe(F.col("source")))
     number = F.col("rank") % F.col("blocks")
-    begin = F.floor(F.col("rank") / F.col("blocks")) * F.col("source_size") + number * block
+    turn = F.floor(F.col("rank") / F.col("blocks"))
+    begin = turn * F.col("source_size") + number * block
     length = F.least(F.lit(block), F.col("source_size") - number * block)
     take = F.least(length, F.col("goal") - begin)
-    return (plan.where("rank < need").select("slot", "source", number.alias("block"), take.alias("take"))
+    return (plan.where("rank < need").select("slot", "source", turn.alias("pass"), number.alias("block"), take.alias("take"))
             .where("take > 0"))
 
 
-def taken_words(placed: DataFrame, slots: DataFrame, block: int = BLOCK) -> DataFrame:
-    """(source, bucket, rank, taken): words the mix takes of each document that it takes from."""
+def taken_words(placed: DataFrame, slots: DataFrame, block: int = BLOCK, passes: bool = False) -> DataFrame:
+    """(source, bucket, rank, taken, first_slot): words the mix takes of each document that it takes from, and the
+    slot with the first of them; passes: with ``uses``, all (pass, slot) that take from it."""
     spread = placed.where("size > 0").select(
         "source", "bucket", "rank", "start", "size",
         F.explode(F.sequence(F.floor(F.col("start") / block), F.floor((F.col("start") + F.col("size") - 1) / block))).alias("block"))
     into = spread.withColumn("from", F.greatest(F.col("start") - F.col("block") * block, F.lit(0)))
     into = into.withColumn("to", F.least(F.col("start") + F.col("size") - F.col("block") * block, F.lit(block)))
-    uses = slots.select(F.col("source").alias("s_"), F.col("block").alias("b_"), "take")
+    uses = slots.select(F.col("source").alias("s_"), F.col("block").alias("b_"), "take", "slot", "pass")
     hit = into.join(uses, F.col("source").eqNullSafe(F.col("s_")) & (F.col("block") == F.col("b_")))
     words = F.greatest(F.least(F.col("to"), F.col("take")) - F.col("from"), F.lit(0))
-    return hit.groupBy("source", "bucket", "rank").agg(F.sum(words).alias("taken")).where("taken > 0")
+    hit = hit.withColumn("words", words).where("words > 0")
+    return hit.groupBy("source", "bucket", "rank").agg(
+        F.sum("words").alias("taken"), F.min("slot").alias("first_slot"),
+        *[F.collect_list(F.struct("pass", "slot")).alias("uses")] * passes)
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT,
         block: int = BLOCK) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) for every row of docs (doc_id, text, source)."""
+    """(doc_id, size, source_size, target, taken, first_slot) for every row of docs (doc_id, text, source); first_slot
+    is where in the mix the document comes first, null where nothing of it is taken."""
     keyed = docs.select("doc_id", "source", size_of(F.col("text")).alias("size"),
                         digest(F.col("doc_id"), F.col("text")).alias("d"))
     placed = C.staged(place(keyed), "placed")
@@ -166,28 +177,34 @@ def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int
     out = _with_taken(placed, taken)
     per = targets.select(F.col("source").alias("s_"), "source_size", "target")
     return out.join(per, F.col("source").eqNullSafe(F.col("s_"))).select(
-        "doc_id", "size", "source_size", "target", "taken")
+        "doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def _with_taken(placed: DataFrame, taken: DataFrame) -> DataFrame:
-    few = taken.select(F.col("source").alias("t_"), F.col("bucket").alias("b_"), F.col("rank").alias("r_"), "taken")
+    rest = [c for c in taken.columns if c not in ("source", "bucket", "rank")]
+    few = taken.select(F.col("source").alias("t_"), F.col("bucket").alias("b_"), F.col("rank").alias("r_"), *rest)
     on = F.col("source").eqNullSafe(F.col("t_")) & (F.col("bucket") == F.col("b_")) & (F.col("rank") == F.col("r_"))
     return placed.join(few, on, "left").drop("t_", "b_", "r_").withColumn("taken", F.coalesce("taken", F.lit(0)).cast("long"))
 
 
 def mixed_documents(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_repeat: int = MAX_REPEAT,
-                    block: int = BLOCK) -> DataFrame:
-    """The mix as documents: the columns of docs, one row per document and time it is taken.
+                    block: int = BLOCK, slot: str | None = None) -> DataFrame:
+    """The mix as documents: the columns of docs, one row per document and time it is taken; slot: the name of one more
+    column with the slot at which the row begins, by which the mix is read in order.
 
     A whole repetition carries the text unchanged.  Where a source's target ends inside a document,
     the last row carries the words taken, joined by one space; all else goes."""
     placed = ordered(docs)
     small = C.staged(placed.drop("row"), "placed")
     targets = C.staged(source_targets(small, weights, share, max_repeat), "targets")
-    taken = C.staged(taken_words(small, schedule(targets, block), block), "taken")
+    taken = C.staged(taken_words(small, schedule(targets, block), block, passes=slot is not None), "taken")
     out = _with_taken(placed, taken).where("taken > 0")
     out = out.withColumn("part", F.explode(F.sequence(F.lit(0), F.ceil(F.col("taken") / F.col("size")) - 1)))
     words = F.least(F.col("size"), F.col("taken") - F.col("part") * F.col("size"))
     cut = F.array_join(F.slice(F.regexp_extract_all("row.text", F.lit(C.WORD), F.lit(0)), F.lit(1), words.cast("int")), " ")
     text = F.when(words == F.col("size"), F.col("row.text")).otherwise(cut)
-    return out.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    began = []
+    if slot is not None:
+        own = F.filter("uses", lambda u: u["pass"] == F.col("part"))
+        began = [F.array_min(F.transform(own, lambda u: u["slot"])).alias(slot)]
+    return out.select(*[text.alias(c) if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns], *began)

@@ -115,14 +115,29 @@ targets AS (
   SELECT l.source, l.source_size,
          CASE WHEN c.level IS NULL THEN l.room ELSE least(l.room, c.level * l.weight) END AS target
   FROM levels l, chosen c),
+goals AS (
+  SELECT *, (goal // source_size) * ceil(source_size / 1024)::BIGINT + ceil(goal % source_size / 1024)::BIGINT AS need
+  FROM (SELECT *, round(target)::BIGINT AS goal FROM targets WHERE target >= 0.5)),
+shares AS (
+  SELECT *, (sum(goal) OVER o)::BIGINT / (sum(goal) OVER ())::BIGINT AS hi,
+         coalesce((sum(goal) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))::BIGINT / (sum(goal) OVER ())::BIGINT, 0) AS lo
+  FROM goals WINDOW o AS (ORDER BY source NULLS LAST)),
+points AS (
+  SELECT slot, slot * 0.6180339887498949::DOUBLE - floor(slot * 0.6180339887498949::DOUBLE) AS x
+  FROM (SELECT unnest(range((SELECT sum(need)::BIGINT FROM goals))) AS slot)),
+drawn AS (
+  SELECT s.source, p.slot, row_number() OVER (PARTITION BY s.source ORDER BY p.slot) - 1 AS place
+  FROM points p JOIN shares s ON p.x >= s.lo AND p.x < s.hi),
 placed AS (
-  SELECT docs.doc_id, docs.size, t.source_size, t.target, round(t.target)::BIGINT AS goal,
+  SELECT docs.doc_id, docs.source, docs.size, t.source_size, t.target, round(t.target)::BIGINT AS goal,
          (sum(docs.size) OVER (PARTITION BY docs.source ORDER BY d, docs.size ROWS UNBOUNDED PRECEDING) - docs.size)::BIGINT AS start
   FROM docs JOIN targets t ON docs.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
        (greatest(least(start + size, goal) - start, 0)
-        + greatest(least(start + size, goal - source_size) - start, 0))::BIGINT AS taken
-FROM placed
+        + greatest(least(start + size, goal - source_size) - start, 0))::BIGINT AS taken,
+       CASE WHEN size > 0 AND start < goal AND target >= 0.5
+            THEN coalesce(d.slot, (SELECT sum(need)::BIGINT FROM goals) + p.start // 1024) END::BIGINT AS first_slot
+FROM placed p LEFT JOIN drawn d ON p.source IS NOT DISTINCT FROM d.source AND p.start // 1024 = d.place
 """
 
 OP10_SQL = rf"""

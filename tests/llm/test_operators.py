@@ -216,6 +216,32 @@ def test_mix(spark, odd, none):
     assert taken == sum(r.taken for r in mixing.mix(plain).collect())
 
 
+def test_mix_in_order(spark, odd):
+    """Every stretch of the mix, read by its slots, holds each source in nearly its share of words."""
+    from fieldops.llm.queries import op1_mixing
+    sf = "/root/testdata/sf0.01"
+    docs = common.table(spark, sf, "documents")
+    mixed = mixing.mixed_documents(docs, slot="at").select("doc_id", "source", "at", mixing.size_of(F.col("text")).alias("n")).collect()
+    first = {r.doc_id: r.first_slot for r in op1_mixing(spark, sf).collect()}
+    least = {}
+    for r in mixed:
+        least[r.doc_id] = min(r["at"], least.get(r.doc_id, r["at"]))
+    assert least == {i: s for i, s in first.items() if s is not None}
+    total, end = sum(r.n for r in mixed), max(r["at"] for r in mixed) + 1
+    share = Counter()
+    for r in mixed:
+        share[r.source] += r.n / total
+    for k in range(6):
+        part = Counter()
+        for r in mixed:
+            if k * end // 6 <= r["at"] < (k + 1) * end // 6:
+                part[r.source] += r.n
+        off = {s: part[s] / sum(part.values()) - share[s] for s in share}
+        assert max(map(abs, off.values())) < 0.05, (k, off)
+    few = mixing.mixed_documents(odd.select("doc_id", "text", "lang", "source", "n_chars"), block=4, slot="at")
+    assert few.where("at is null").isEmpty() and few.columns[-1] == "at"
+
+
 def test_targets_by_hand(spark):
     sizes = spark.createDataFrame([("a", 10), ("b", 100), ("c", 100), (None, 90)], "source string, size long")
     got = {r.source: r.target for r in mixing.source_targets(sizes).collect()}
