@@ -9,7 +9,7 @@ always meet under that gram's hash, yet only about one position in half a window
 
 Anchors with the same (h, c) agree on every window; only anchors that share h and differ in c
 need their windows compared one by one, and of equal ones a single representative does.
-Fingerprints are 64 bits wide; a window counts as repeated if its gram's and its own agree.
+Words' windows are compared by 64-bit fingerprints, bytes' in suffix order (``suffix_scan.py``).
 
 For doubling, an anchor also carries the gram at twice its length: a window that starts at ``cut`` or
 later holds the gram and as much behind it (hash ``hr``), one that starts earlier the gram and as
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fieldops.llm import common as C
+from fieldops.llm import suffix_scan
 
 _POS_BITS = 24
 #: elements that are scanned at once; a longer document is scanned in overlapping pieces
@@ -41,6 +42,11 @@ def _sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return np.minimum(right[: n - w + 1], left[w - 1: n])
 
 
+def _gram_keys(grams: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """What grams are chosen by: their hash, then their place (the low bits)."""
+    return (grams >> np.uint64(_POS_BITS) << np.uint64(_POS_BITS)) | at.astype(np.uint64)
+
+
 def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
     """Anchors of all documents in a run of values: (document, s0, s1, h, c, p, prefix sums), s0, s1 and
     the gram's place p in the run."""
@@ -50,8 +56,7 @@ def _scan(values: np.ndarray, offs: np.ndarray, gram: int, window: int):
     prefix = C.prefix_hash(values)
     at = np.arange(len(values) - gram + 1)
     grams = C.range_hash(prefix, at, at + gram)
-    key = (grams >> np.uint64(_POS_BITS) << np.uint64(_POS_BITS)) | at.astype(np.uint64)
-    least = _sliding_min(key, window - gram + 1)
+    least = _sliding_min(_gram_keys(grams, at), window - gram + 1)
     doc = np.repeat(np.arange(len(offs) - 1), np.diff(offs))[: len(least)]
     good = np.flatnonzero(np.arange(len(least)) + window <= offs[doc + 1])
     if not len(good):
@@ -158,20 +163,14 @@ def _contexts(docs: DataFrame, reps: DataFrame, unit: str, window: int) -> DataF
 FOUND_SCHEMA = "w long, did long, tk long, s0 int, s1 int"
 
 
-def _compare(rows: pa.Table, unit: str, window: int, keep_first: bool) -> pa.RecordBatch:
-    """Runs of repeated windows among whole groups of contexts (w null), and of groups that are dealt
-    over several tasks the first spot of each distinct window (w its hash)."""
+def _compare(rows: pa.Table, window: int, keep_first: bool) -> pa.RecordBatch:
+    """Runs of repeated windows among whole groups of words' contexts (w null), and of groups that are
+    dealt over several tasks the first spot of each distinct window (w its hash)."""
     did, tk, s0 = (rows.column(c).to_numpy() for c in ("did", "tk", "s0"))
     hot = rows.column("hot").to_numpy()
     buf, offs = C.text_buffer(rows.column("held"))
-    n = np.diff(offs)
-    if unit == "byte":
-        n = n - window + 1
-        at = C.ranges(offs[:-1], n)
-        w = C.range_hash(C.prefix_hash(C.BYTE_VALUES[buf]), at, at + window)
-    else:
-        n = n // 8
-        w = np.frombuffer(buf.tobytes(), np.uint64)
+    n = np.diff(offs) // 8
+    w = np.frombuffer(buf.tobytes(), np.uint64)
     own = np.repeat(np.arange(len(n)), n)
     s = C.ranges(s0.astype(np.int64), n)
     order = np.lexsort((s, tk[own], did[own], w))
@@ -184,36 +183,63 @@ def _compare(rows: pa.Table, unit: str, window: int, keep_first: bool) -> pa.Rec
     flagged = ~new
     if not keep_first:
         flagged[:-1] |= ~new[1:]
-    f_own, f_s = own[flagged], s[flagged]
+    one = np.flatnonzero(new & hot[own])
+    return _found(did, tk, own[flagged], s[flagged], own[one], s[one], w[one])
+
+
+def _scan_contexts(rows: pa.Table, gram: int, window: int) -> pa.RecordBatch:
+    """The same of bytes' contexts, by suffix order; every window that repeats is in a run, first or not."""
+    h, did, tk, s0 = (rows.column(c).to_numpy() for c in ("h", "did", "tk", "s0"))
+    order = np.lexsort((s0, tk, did, h))
+    again = np.zeros(len(order), bool)  # rows that repeat a document
+    again[1:] = True
+    for x in (h, did, tk, s0):
+        again[1:] &= x[order[1:]] == x[order[:-1]]
+    rows = rows.take(order[~again])
+    h, did, tk, s0 = (rows.column(c).to_numpy() for c in ("h", "did", "tk", "s0"))
+    hot = rows.column("hot").to_numpy()
+    buf, offs = C.text_buffer(rows.column("held"))
+    group = np.cumsum(np.concatenate(([0], h[1:] != h[:-1])))
+    place = suffix_scan.places(buf, offs, gram, window, _gram_keys)
+    own, at, one, one_at = suffix_scan.repeated(buf, offs, group, place, window, hot)
+    first = offs[one] + one_at
+    w = C.range_hash(C.prefix_hash(C.BYTE_VALUES[buf]), first, first + window)
+    return _found(did, tk, own, s0[own] + at, one, s0[one] + one_at, w)
+
+
+def _found(did, tk, f_own, f_s, one, one_s, w) -> pa.RecordBatch:
+    """Starts f_s of contexts f_own made runs, and single starts one_s of contexts one with their hash."""
     order = np.lexsort((f_s, f_own))
     f_own, f_s = f_own[order], f_s[order]
     start = np.ones(len(f_s), bool)
     start[1:] = (f_own[1:] != f_own[:-1]) | (f_s[1:] != f_s[:-1] + 1)
     a = np.flatnonzero(start)
     b = np.append(a[1:], len(f_s)) - 1
-    one = np.flatnonzero(new & hot[own])
-    row = np.concatenate((f_own[a], own[one])) if len(a) else own[one]
-    lo, hi = np.concatenate((f_s[a], s[one])), np.concatenate((f_s[b] if len(a) else f_s, s[one]))
-    mark = pa.array(np.concatenate((np.zeros(len(a), np.int64), w[one].view(np.int64))),
+    row = np.concatenate((f_own[a], one)) if len(a) else one
+    lo, hi = np.concatenate((f_s[a], one_s)), np.concatenate((f_s[b] if len(a) else f_s, one_s))
+    mark = pa.array(np.concatenate((np.zeros(len(a), np.int64), w.view(np.int64))),
                     mask=np.arange(len(row)) < len(a))
     return pa.RecordBatch.from_arrays(
         [mark, pa.array(did[row]), pa.array(tk[row]), pa.array(lo.astype(np.int32)), pa.array(hi.astype(np.int32))],
         names=["w", "did", "tk", "s0", "s1"])
 
 
-def repeated_starts(docs: DataFrame, reps: DataFrame, unit: str, window: int, keep_first: bool) -> DataFrame:
+def repeated_starts(docs: DataFrame, reps: DataFrame, unit: str, window: int, keep_first: bool, gram: int = 0) -> DataFrame:
     """Window by window, the starts (did, tk, s0, s1) inside the runs of reps that repeat among them.
 
     reps: (h, k, did, tk, s0, s1), k the number of rows with this h.  Windows can only be equal
     under the same h, so contexts are sorted by h and compared in one task, up to GROUP; more of one
     h are dealt over several tasks, each of which sends on its distinct windows once, and those are
     compared by aggregate and join.
-    keep_first: only those for which the same sequence also starts earlier (smaller did, tk,
-    start); else all for which it starts anywhere else."""
+    keep_first (words only): only those for which the same sequence also starts earlier (smaller did,
+    tk, start); else all for which it starts anywhere else.  gram: its length, for bytes."""
     salted = reps.withColumn("salts", F.ceil(F.col("k") / GROUP).cast("int"))
     rows = _contexts(docs, salted, unit, window)
     rows = rows.repartition(C.partitions(docs.sparkSession), "h", "salt").sortWithinPartitions("h", "salt")
 
+    def compare(held: pa.Table) -> pa.RecordBatch:
+        return _scan_contexts(held, gram, window) if unit == "byte" else _compare(held, window, keep_first)
+
     def run(batches):
         held, size = [], 0
         for b in batches:
@@ -226,10 +252,10 @@ def repeated_starts(docs: DataFrame, reps: DataFrame, unit: str, window: int, ke
             last = np.flatnonzero((h != h[-1]) | (salt != salt[-1]))
             cut = int(last[-1]) + 1 if len(last) else 0  # the last group may go on in the next batch
             if cut:
-                yield _compare(rows.slice(0, cut), unit, window, keep_first)
+                yield compare(rows.slice(0, cut))
             held, size = rows.slice(cut).to_batches(), rows.slice(cut).nbytes
         if held:
-            yield _compare(pa.Table.from_batches(held), unit, window, keep_first)
+            yield compare(pa.Table.from_batches(held))
 
     found = C.staged(rows.mapInArrow(run, FOUND_SCHEMA), "found")
     sure = found.where("w is null").drop("w")

@@ -106,7 +106,7 @@ class SuffixIndex:
         marks = C.staged(self.anchors.join(wanted, ["h", "c"]), "marks")
         whole = marks.where("a0 != a1").select("did", "tk", "s0", "s1")
         reps = marks.where((F.col("k") > 1) & (_anchor_id() == F.col("a0"))).select("h", "k", "did", "tk", "s0", "s1")
-        return whole.unionByName(R.repeated_starts(docs, reps, "byte", self.min_bytes, keep_first=False))
+        return whole.unionByName(R.repeated_starts(docs, reps, "byte", self.min_bytes, False, self.min_bytes // 4))
 
     def drop(self) -> None:
         self._drop(*[t for _, t in self.levels])

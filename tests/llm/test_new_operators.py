@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fieldops.llm import alignment, online_packing, whitening
+from fieldops.llm import alignment, common, online_packing, suffix_scan, whitening
 from fieldops.llm.queries import PIECE_TOKENIZER, op11_online_packing, op12_whitening, op13_alignment, tokenizer_path
 
 SF = "/root/testdata/sf0.001"
@@ -368,3 +368,33 @@ def test_lines_with_equal_polynomial_sums_are_not_repeats(spark):
     whole = "".join(texts).encode()
     offs = np.concatenate(([0], np.cumsum([len(t.encode()) for t in texts])))
     assert quality_rules._analyse(np.frombuffer(whole, np.uint8), offs)[0]["n_dup_lines"].tolist() == [0, 1, 1, 1]
+
+
+@pytest.mark.parametrize("letters", [(0, 1), (97, 98, 0), (97,)])
+def test_suffix_scan_is_brute_force(letters):
+    rng = np.random.default_rng(len(letters))
+    for n in (0, 1, 2, 60):
+        window, texts, group, place = 12, [], [], []
+        pool = [bytes(rng.choice(letters, 40).astype(np.uint8)) for _ in range(4)]
+        for _ in range(n):  # contexts of pieces of a few strings, so that many agree in part
+            size = int(rng.integers(window, 20))
+            text = pool[rng.integers(4)]
+            at = int(rng.integers(len(text) - size))
+            p = int(rng.integers(size))
+            texts.append(text[at: at + size])
+            group.append(int(rng.integers(3)))
+            place.append(p)
+        firsts = rng.random(n) < 0.5
+        buf, offs = common.joined(texts)
+        own, start, one, one_start = suffix_scan.repeated(buf, offs, np.array(group, np.int64), np.array(place, np.int64), window, firsts)
+        sets = {}
+        for i, (t, g, p) in enumerate(zip(texts, group, place)):
+            for s in range(0, min(p, len(t) - window) + 1):
+                sets.setdefault((g, p - s, t[s: s + window]), []).append((i, s))
+        want = sorted(x for v in sets.values() if len(v) > 1 for x in v)
+        assert sorted(zip(own.tolist(), start.tolist())) == want
+        spots = {x: k for k, v in sets.items() for x in v}
+        heads = [spots[x] for x in zip(one.tolist(), one_start.tolist())]
+        assert all(firsts[i] for i in one)
+        # each set whose first text in suffix order has the mark gives one; all-marked sets always do
+        assert len(heads) == len(set(heads)) and {k for k, v in sets.items() if all(firsts[i] for i, _ in v)} <= set(heads)
