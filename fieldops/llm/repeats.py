@@ -26,8 +26,10 @@ from fieldops.llm import common as C
 from fieldops.llm import suffix_scan
 
 _POS_BITS = 24
+#: bytes of text that are scanned at once
+SCAN_BYTES = 1 << 18
 #: elements that are scanned at once; a longer document is scanned in overlapping pieces
-_PIECE = 1 << 22
+_PIECE = 1 << 18
 ANCHOR_SCHEMA = "h long, c long, did long, tk long, s0 int, s1 int"
 DOUBLED_SCHEMA = ANCHOR_SCHEMA + ", cut int, hr long, hl long"
 
@@ -92,7 +94,7 @@ def anchors(docs: DataFrame, unit: str, gram: int, window: int, doubled: bool =
     schema = DOUBLED_SCHEMA if doubled else ANCHOR_SCHEMA
 
     def run(batches):
-        for b in C.steps(batches):
+        for b in C.steps(batches, max_bytes=SCAN_BYTES):
             values, offs = _elements(*C.text_buffer(b.column(b.schema.get_field_index("text"))), unit)
             did = b.column(b.schema.get_field_index("did")).to_numpy(zero_copy_only=False)
             tk = b.column(b.schema.get_field_index("tk")).to_numpy(zero_copy_only=False)
