@@ -8,7 +8,8 @@ The array is sparse.  A full one (8 bytes or more per byte of text) does not fit
 corpus of 100 TB leaves, and is not needed: every string of ``min_bytes`` bytes is found through
 the anchor that represents it (``repeats.py``), so suffixes that start at anchors suffice.  They
 are ordered by the 64-bit fingerprint of their first ``min_bytes // 4`` bytes, which brings those
-that share this prefix together, and that adjacency is all that the scan uses.  An entry stands
+that share this prefix together; what follows the prefix is put into suffix order for those that repeat,
+and long matches are read from the common lengths of neighbours (``suffix_scan.py``).  An entry stands
 for all anchors with the same surroundings: a passage copied a million times is one entry, made
 by a partial aggregate before anything is shuffled.  Levels are bucketed and sorted by the
 fingerprint, so scans join them without a shuffle.
