@@ -2,7 +2,7 @@
 import datetime as dt
 
 from fieldops.operators.history import frozen_periods, period_values, scd2_snapshot
-from fieldops.plans import dims
+from fieldops.plans import dims, finance
 from fieldops.plans import helpdesk as hd
 from fieldops.plans import vending as vd
 
@@ -191,3 +191,17 @@ def test_parts_by_job_and_opportunities(spark):
     got = [(r["opp_id"], r["opp_id_client_c4c"], r["opp_campagne_id"], r["opp_probabilite"], r["opp_statut"], r["opp_role"])
            for r in normalise_opportunities(raw, {"lifecycle_status": {"Won": "w"}, "role_account": {"Customer": "c"}}).collect()]
     assert sorted(got, key=str) == sorted([("1", None, 12, 0.4, "w", "Other"), (None, "7", None, None, None, None)], key=str)
+
+
+def test_pnl_names_are_arguments(spark):
+    lines = spark.sql("""select * from values
+        (date'2020-03-01', 'u', 'Turnover', '700', 10.00BD, false), (date'2020-03-02', 'u', 'Goods', '600', -4.00BD, false),
+        (date'2020-03-03', 'u', 'Goods', '999', -1.00BD, false)
+        as t(date_facturation, code_analytique_bu, macro_categorie_pnl_bu, numero_compte_general, montant_analytique_signe,
+             is_missing_analytical)""")
+    budget = spark.sql("select 2020 as budg_annee, 3 as budg_mois, 'u' as budg_bu, 'CA' as budg_categorie_pnl, 8.00BD as budg_valeur")
+    names = finance.PnlNames(sales="Turnover", materials="Goods", with_provisions="all", without_provisions="net")
+    got = {(r.scenario, r.kpi): (r.valeur, r.budget) for r in finance.pnl_by_unit(lines, budget, 2020, 2020, ("999",), names).collect()}
+    assert {s for s, _ in got} == {"all", "net"} and len(got) == 12
+    assert got["all", "CA"] == (10, 8) and got["all", "CONSOMMATION_MP_SSTT"][0] == -5
+    assert got["net", "MARGE_BRUTE"][0] == 6
