@@ -70,6 +70,7 @@ def _tables(spark, d) -> SimpleNamespace:
         resources=s.select(F.col("s_suppkey").alias("idresources"),
                            F.when(F.col("s_suppkey") % 2 == 0, 2).otherwise(3).alias("idresources_type"),
                            F.concat(F.lit("R"), F.col("s_suppkey").cast("string")).alias("code"), F.col("s_name").alias("name")),
+        line_resources=l.select(F.col("l_orderkey").alias("idtask"), F.col("l_suppkey").alias("idresources")).distinct(),
         task_resources=l.where("l_linenumber >= 2").select(F.col("l_orderkey").alias("idtask"), F.col("l_suppkey").alias("idresources")).distinct(),
         links=l.select(F.col("l_orderkey").alias("idtask"), ((F.col("l_partkey") % 10) * 10 + F.col("l_linenumber") % 4).alias("idlabel")),
         labels=spark.createDataFrame(LABELS, "idlabel int, idlabel_family int, code string"),
@@ -396,12 +397,15 @@ def u08(spark, d):
     return L.receipt_lead_time(_lines(x, tasks, extra=("parent_id", "destination_code")), orders, order_date="real_start_date")
 
 
-@register("u17_task_person_vehicle", sql=_with(
-    """select idtask, min(id) as resource_id, min(concat('R', id)) as resource_code, min(id) as pair_resource_id,
-  concat('R', min(id)) as pair_resource_code, count(*) as n_resources from crew where person group by 1"""))
+@register("u17_task_person_vehicle", sql="""
+select idtask, min(s_suppkey) as resource_id, min(concat('R', s_suppkey)) as resource_code, min(s_suppkey) as pair_resource_id,
+  concat('R', min(s_suppkey)) as pair_resource_code, count(*) as n_resources
+from (select distinct l_orderkey as idtask, l_suppkey from lineitem) join supplier on s_suppkey = l_suppkey
+where s_suppkey % 2 = 0 group by 1""")
 def u17(spark, d):
+    """The people of every line, the first one's included."""
     x = _tables(spark, d)
-    return L.task_people(x.task_resources, x.resources, 2)
+    return L.task_people(x.line_resources, x.resources, 2)
 
 
 _CASH = ", ".join(f"coalesce(sum(amt) filter (code = '{code}'), 0) as {column}" for column, code in TENDERS.items())

@@ -106,3 +106,19 @@ def test_repeated_line_rows_add_up(spark):
            for r in L.line_facts(L.select_tasks(task, 101), lines, products, statuses, companies).collect()}
     assert got == {11: (12.0, Decimal("30"), "C7", "P5"), 12: (1.0, None, "C7", None)}
     assert {r.task_id for r in L.line_facts(L.select_tasks(task, [101, 7], None), lines, products, statuses, companies).collect()} == {1, 2}
+
+
+def test_people_of_first_lines_count(spark, tmp_path):
+    """U17 reads every line: a person who stands on a task's first line alone is one of its people."""
+    from fieldops.catalog import queries
+    tables = {
+        "orders": ("o_orderkey long, o_custkey long, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string", []),
+        "lineitem": ("l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_tax double",
+                     [(1, 1, 2, 1, 1.0, 1.0, 0.0), (1, 1, 4, 2, 1.0, 1.0, 0.0), (2, 1, 6, 1, 1.0, 1.0, 0.0), (2, 1, 6, 1, 1.0, 1.0, 0.0),
+                      (3, 1, 3, 1, 1.0, 1.0, 0.0), (4, 1, 8, None, 1.0, 1.0, 0.0)]),
+        "part": ("p_partkey long, p_retailprice double", []), "customer": ("c_custkey long", []),
+        "supplier": ("s_suppkey long, s_name string", [(n, f"s{n}") for n in range(1, 9)])}
+    for name, (schema, rows) in tables.items():
+        spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    got = {(r.idtask, r.resource_id, r.n_resources) for r in queries()["u17_task_person_vehicle"](spark, str(tmp_path)).collect()}
+    assert got == {(1, 2, 2), (2, 6, 1), (4, 8, 1)}  # 3 has a vehicle only
