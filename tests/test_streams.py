@@ -170,6 +170,16 @@ def test_sessions_are_emitted_once(spark, tmp_path):
     assert run()["late"] == 1
 
 
+def test_episodes_hold_open_sessions_and_early_events(spark, tmp_path):
+    """W04 gives every session: those still open at the end, and events that come long after later ones."""
+    from fieldops.catalog import queries
+    rows = [(1, 1, at(0)), (2, 1, at(2)), (3, 1, at(5)), (4, 1, at(24 * 30)), (5, 2, at(24 * 30 + 1)), (6, 3, at(24 * 366)), (7, 3, at(24 * 400))]
+    events = spark.createDataFrame([(e, u, when, "click", 1.0, None) for e, u, when in rows], SCHEMA)
+    events.select("event_id", "ts", "user_id", "event_type", "value", "props").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted((r.user_id, r.session_start, r.n_events) for r in queries()["w04_session_episodes"](spark, str(tmp_path)).collect())
+    assert got == [(1, at(0), 2), (1, at(5), 1), (1, at(24 * 30), 1), (2, at(24 * 30 + 1), 1), (3, at(24 * 366), 1), (3, at(24 * 400), 1)]
+
+
 # ---------------------------------------------------------------- upserts
 
 ROWS = "id int, v string, at int, p string"
