@@ -159,12 +159,16 @@ def distance(a: Column, b: Column) -> Column:
 
 
 def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
-    """(a, b), a < b: all pairs of distinct fingerprints that differ in at most max_bits (3 or fewer)."""
+    """(a, b), a < b: all pairs of distinct fingerprints that differ in at most max_bits (3 or fewer).
+
+    Both sides hold many keys a fingerprint, which the planner cannot know: it takes them for as small as their
+    input and would send them through the driver.  So they are sorted and merged, as all joins here whose sides
+    grow with the documents."""
     if max_bits > 3:
         raise ValueError("three segments promise keys in common for up to 3 bits")
     stored = golay_keys(distinct, probe=False).withColumnRenamed("fp", "a")
     looked = golay_keys(distinct, probe=True).withColumnRenamed("fp", "b")
-    met = stored.join(looked, "key").where((F.col("a") < F.col("b")) & (distance(F.col("a"), F.col("b")) <= max_bits))
+    met = stored.hint("merge").join(looked, "key").where((F.col("a") < F.col("b")) & (distance(F.col("a"), F.col("b")) <= max_bits))
     return met.select("a", "b").distinct()
 
 
@@ -180,10 +184,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = (both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a != b").distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least, "a")
+        small = large.join(least.hint("merge"), "a")
         edges = C.staged(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
                          .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
@@ -198,11 +202,12 @@ def with_components(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX
     first = C.staged(docs.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fps")
     linked = links(first, max_bits)
     roots = components(linked)
-    near = first.join(roots, first.fp == roots.node, "left").select(
+    near = first.join(roots.hint("merge"), first.fp == roots.node, "left").select(
         "fp", "first_id", F.coalesce("root", "fp").alias("root"))
     near = C.staged(near, "near")
     named = near.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    return docs.join(near.join(named, "root").select("fp", "component_id"), "fp", "left")
+    ids = near.join(named.hint("merge"), "root").select("fp", "component_id")
+    return docs.join(ids.hint("merge"), "fp", "left")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

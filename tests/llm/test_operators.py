@@ -192,6 +192,13 @@ def test_golay_links_are_all_links(spark):
     assert simhash_golay.nearby(words_, 23)[1].sum(axis=1).max() == 6
 
 
+def test_simhash_links_are_not_broadcast(spark):
+    """Keys are many a fingerprint: seen as small as the fingerprints, they would go through the driver."""
+    df = common.staged(spark.range(1000).select(F.xxhash64("id").alias("fp"), F.col("id").alias("first_id")), "fps")
+    plan = simhash_golay.links(df)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(200)] + [(900, 901)], "a long, b long")
     got = {r.node: r.root for r in simhash_golay.components(edges).collect()}
