@@ -33,7 +33,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
         F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("tk"))).alias("best"), F.count("*").alias("n"))
     keep = best.select(F.col("best.doc_id").alias("_did"), F.col("best.tk").alias("_tk"))
     keyed = common.carry(docs, "doc_id", "text").withColumn("tk", F.xxhash64(F.coalesce("text", F.lit(""))))
-    left = keyed.join(keep, F.col("doc_id").eqNullSafe(F.col("_did")) & (F.col("tk") == F.col("_tk")), "left_semi")
+    left = keyed.join(keep.hint("merge"), F.col("doc_id").eqNullSafe(F.col("_did")) & (F.col("tk") == F.col("_tk")), "left_semi")
     # rows that repeat both id and text are one choice: only for those is the text grouped
     twice = common.staged(found.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).where("n > 1").select(
         F.col("doc_id").alias("_did"), F.col("tk").alias("_tk")), "twice")
