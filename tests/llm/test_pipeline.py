@@ -62,3 +62,14 @@ def test_sql(spark, name):
     cols = sorted(want.columns)
     a, b = (x[cols].sort_values(cols).reset_index(drop=True) for x in (got, want))
     assert (a.values == b.values).all()
+
+
+def test_sql_of_the_mix_with_nulls(spark):
+    """As test_sql, for rows of which the mix takes nothing: their first_slot is NULL on both sides."""
+    con = duckdb.connect()
+    con.execute(f"create view documents as select * from '{SF}/documents.parquet'")
+    want = con.execute(queries.oracle_sql()["op1_mixing"]).df().astype(object)
+    cols = list(want.columns)
+    want = {tuple(None if x != x or x is None else x for x in r) for r in want.where(want.notna(), None)[cols].values.tolist()}
+    got = {tuple(r) for r in queries.queries()["op1_mixing"](spark, SF).select(*cols).collect()}
+    assert got == want and any(None in r for r in got)
