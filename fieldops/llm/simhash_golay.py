@@ -162,8 +162,8 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     """(a, b), a < b: all pairs of distinct fingerprints that differ in at most max_bits (3 or fewer).
 
     Both sides hold many keys a fingerprint, which the planner cannot know: it takes them for as small as their
-    input and would send them through the driver.  So they are sorted and merged, as all joins here whose sides
-    grow with the documents."""
+    input and would send them through the driver.  So they are sorted and merged, as are the joins of ids
+    with documents below."""
     if max_bits > 3:
         raise ValueError("three segments promise keys in common for up to 3 bits")
     stored = golay_keys(distinct, probe=False).withColumnRenamed("fp", "a")
@@ -184,10 +184,10 @@ def components(edges: DataFrame) -> DataFrame:
     while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("m"))
-        large = (both.where("b > a").join(least.hint("merge"), "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
+        large = (both.where("b > a").join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .where("a != b").distinct())
         least = large.groupBy("a").agg(F.min("b").alias("m"))
-        small = large.join(least.hint("merge"), "a")
+        small = large.join(least, "a")
         edges = C.staged(small.select(F.col("b").alias("a"), F.col("m").alias("b")).where("a != b")
                          .unionByName(least.select("a", F.col("m").alias("b"))).distinct(), "edges")
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
