@@ -19,6 +19,7 @@ PASSAGE_BYTES = 250
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learnt from the labels of these documents, gives label 1."""
+    common.small_batches(spark)
     model = quality_cnn.learn(docs, common.table(spark, sf_dir, "labels"))
     scored = quality_cnn.score(docs, model)
     return scored.where("predicted = 1").select(*docs.columns)
@@ -26,6 +27,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays: the one with the smallest id (null last, then text hash)."""
+    common.small_batches(spark)
     found = simhash_golay.near_duplicates(docs)
     # group: the component, or for null ids alone the fingerprint
     found = found.withColumn("grp", F.coalesce(F.col("component_id").cast("string"), F.hex("fp")))
@@ -49,6 +51,7 @@ def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """Texts without strings of PASSAGE_BYTES bytes that start elsewhere too.
 
     A character that a cut divides goes with it.  A text that is all repeats stays as an empty one."""
+    common.small_batches(spark)
     cut = suffix_dedup.remove_repeats(docs, PASSAGE_BYTES, kept="string")
     text = F.when(F.col("n_removed") == 0, F.col("text")).otherwise(F.col("kept"))
     return _with_text(cut.withColumn("text", text), docs)
@@ -66,6 +69,7 @@ def _with_text(df: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    common.small_batches(spark)
     return packing.pack(docs, tokenizer_path())
 
 

@@ -90,7 +90,7 @@ def pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY, end_i
     def run(batches):
         encoder = Encoder(tokenizer_path)
         end = np.array([end_id], "<u4").tobytes()
-        for b in C.steps(batches):
+        for b in C.steps(batches, max_bytes=C.SMALL_STEP):
             doc, piece, start, length, crc = [], [], [], [], []
             for i, text in enumerate(b.column(1)):
                 raw = encoder.encode(text.as_py() or "").tobytes() + end

@@ -247,7 +247,7 @@ def score(docs: DataFrame, model: bytes, threshold: float = THRESHOLD) -> DataFr
 
     def run(batches):
         net = load(model)
-        for b in C.steps(batches):
+        for b in C.steps(batches, max_bytes=C.SMALL_STEP):
             buf, offs = C.text_buffer(b.column(1))
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(probability(net, buf, offs))], names=schema.names)
 

@@ -51,7 +51,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     schema = C.extended(docs.schema, ("fp", "long"))
 
     def run(batches):
-        for b in C.steps(batches):
+        for b in C.steps(batches, max_bytes=C.SMALL_STEP):
             buf, offs = C.text_buffer(b.column(b.schema.get_field_index("text")))
             low = C.LOWER[buf].tobytes()
             hashes, counts = [], np.zeros(b.num_rows, np.int64)

@@ -1,14 +1,17 @@
 """The pipeline's stages against brute force, and the queries against their SQL."""
 import os
 import re
+import tracemalloc
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 import corpus_pipeline as P
-from fieldops.llm import mixing, queries, simhash_golay, suffix_dedup
+from fieldops.llm import mixing, quality_cnn, queries, simhash_golay, suffix_dedup
 
 from test_operators import brute_bytes, brute_components
 
@@ -73,3 +76,43 @@ def test_sql_of_the_mix_with_nulls(spark):
     want = {tuple(None if x != x or x is None else x for x in r) for r in want.where(want.notna(), None)[cols].values.tolist()}
     got = {tuple(r) for r in queries.queries()["op1_mixing"](spark, SF).select(*cols).collect()}
     assert got == want and any(None in r for r in got)
+
+
+def test_stages_hand_texts_over_in_small_batches(spark):
+    """Of rows of 10 KB each, a batch that a worker gets holds 4 MB or so."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(key)
+    wide = spark.range(2000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("a word "), 1500).alias("text"))
+    P.pack_sequences(spark, wide.limit(1), SF)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["n"])
+
+    assert wide.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0] < 5 << 20
+    spark.conf.set(key, "1m")  # a caller's own limit stays
+    P.pack_sequences(spark, wide.limit(1), SF)
+    assert spark.conf.get(key) == "1m"
+    spark.conf.unset(key)
+
+
+def test_a_step_of_the_classifier_takes_little_memory():
+    rows = pa.RecordBatch.from_arrays([pa.array([0] * 4000), pa.array(["some words of a text " * 50] * 4000)], names=["doc_id", "text"])
+
+    class Frame:  # stands for the documents: keeps what score() runs
+        schema = StructType().add("doc_id", "long").add("text", "string")
+
+        def mapInArrow(self, run, schema):
+            self.run = run
+            raise StopIteration
+
+    frame, net = Frame(), quality_cnn.train([], [], 0.5)
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(quality_cnn.C, "carry", lambda docs, *names: docs)
+        with pytest.raises(StopIteration):
+            quality_cnn.score(frame, net)
+    tracemalloc.start()
+    assert sum(b.num_rows for b in frame.run(iter([rows]))) == 4000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 30 << 20
