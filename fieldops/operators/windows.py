@@ -75,14 +75,16 @@ def bucketed_lag(df: DataFrame, key: Sequence[str], order: Sequence[str], values
 
 
 def bucketed_running(df: DataFrame, key: Sequence[str], order: Sequence[str], bucket: Column,
-                     sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None) -> DataFrame:
+                     sums: dict[str, Column] | None = None, maxes: dict[str, Column] | None = None,
+                     totals: dict[str, str] | None = None) -> DataFrame:
     """Running (unbounded preceding → current row) sums and maxes per ``key`` without a key-wide
     window: windows run per (key, bucket); each bucket's totals (one row per key-bucket) give the
     offset contributed by earlier buckets.  Exact when ``bucket`` is monotone in ``order``.
 
-    sums / maxes: output name → Column to accumulate.
+    sums / maxes: output name → Column to accumulate; totals: output name → the one of ``sums`` whose sum over
+    the whole key it holds.
     """
-    sums, maxes = sums or {}, maxes or {}
+    sums, maxes, totals = sums or {}, maxes or {}, totals or {}
     b = df.withColumn("_bkt", bucket)
     for n, c in {**sums, **maxes}.items():
         b = b.withColumn(f"_v_{n}", c)
@@ -92,7 +94,8 @@ def bucketed_running(df: DataFrame, key: Sequence[str], order: Sequence[str], bu
                                       *[F.max(f"_v_{n}").alias(f"_t_{n}") for n in maxes])
     wb = Window.partitionBy(*key).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
     off = per.select(*key, "_bkt", *[F.sum(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in sums],
-                     *[F.max(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in maxes])
+                     *[F.max(f"_t_{n}").over(wb).alias(f"_o_{n}") for n in maxes],
+                     *[F.sum(f"_t_{n}").over(Window.partitionBy(*key)).alias(t) for t, n in totals.items()])
     out = null_safe_join(b, off, [*key, "_bkt"], "left")
     for n in sums:
         out = out.withColumn(n, F.sum(f"_v_{n}").over(w) + F.coalesce(F.col(f"_o_{n}"), F.lit(0)))
